@@ -241,13 +241,17 @@ def blocked(
     by, extra = list(by), _extra(train)
     value = "sim" if metric == "cosine" else "dist2"
     q_blocks, t_blocks = _block_counts(queries, train)
+    # Every column gets a fresh alias: both sides may come from one stage, and a
+    # cogroup must not see the same attribute twice.
     q = queries.select(
-        *by, F.col("doc_id").alias("query_id"), "vec",
+        *[F.col(c).alias(c) for c in by],
+        F.col("doc_id").alias("query_id"), F.col("vec").alias("vec"),
         F.pmod(F.xxhash64("doc_id"), F.lit(q_blocks)).alias("_i"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(t_blocks - 1).cast("long"))).alias("_j"),
     )
     t = train.select(
-        *by, F.col("doc_id").alias("train_id"), *extra, "vec",
+        *[F.col(c).alias(c) for c in [*by, *extra]],
+        F.col("doc_id").alias("train_id"), F.col("vec").alias("vec"),
         F.pmod(F.xxhash64("doc_id"), F.lit(t_blocks)).alias("_j"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))).alias("_i"),
     )
