@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import data, sql
+from catalog import data, porter_sql, sql
 from catalog.registry import query
 from nearlex.functions import porter, text as tx
 from nearlex.operators import bags as bg
@@ -132,3 +132,29 @@ KEPT_WORDS = f"regexp_extract_all(lower(text), '[^{sql.WHITESPACE}]+')"
 def t15_char_grams_in_word(spark, sf):
     docs = data.documents(spark, sf)
     return _listing(bg.tokenised(docs, tx.char_grams_in_word), F.col("tokens"), hashed=True)
+
+
+DISTINCT_WORDS = f"words AS MATERIALIZED (SELECT DISTINCT token FROM (SELECT unnest({sql.RAW_WORDS}) AS token FROM d))"
+
+
+@query(sql.with_(sql.DOCS, DISTINCT_WORDS, porter_sql.stems()) + "SELECT token, stem FROM stems")
+def t6_stem_dictionary(spark, sf):
+    words = data.raw_words(spark, sf).select(F.explode("tokens").alias("token")).distinct()
+    return words.select("token", porter.stem(F.array("token"))[0].alias("stem"))
+
+
+def stemmed_tokens(name: str, source: str, order: int, label: bool = True) -> str:
+    """CTEs ending in ``name``: stemmed n-grams of ``source``, given ``stems``."""
+    lab = ", label" if label else ""
+    return (
+        f"{name}_p AS (SELECT doc_id, w[i] AS token, i FROM (SELECT doc_id, {sql.RAW_WORDS} AS w FROM {source}), unnest(range(1, len(w) + 1)) AS r(i)), "
+        f"{name}_w AS MATERIALIZED (SELECT doc_id{lab}, coalesce(list(stem ORDER BY i) FILTER (stem IS NOT NULL), []) AS w FROM {source} "
+        f"LEFT JOIN (SELECT doc_id, i, stem FROM {name}_p JOIN stems USING (token)) USING (doc_id) GROUP BY doc_id{lab}), "
+        f"{name} AS MATERIALIZED (SELECT doc_id{lab}, {sql.ngrams('w', order)} AS toks FROM {name}_w)"
+    )
+
+
+@query(sql.with_(sql.DOCS, DISTINCT_WORDS, porter_sql.stems(), stemmed_tokens("dt", "d", 3))
+       + "SELECT doc_id, CAST(len(toks) AS BIGINT) AS n, md5(coalesce(array_to_string(toks, ' '), '')) AS tokens FROM dt")
+def t11_rich_token_stream(spark, sf):
+    return _listing(bg.tokenised(data.documents(spark, sf), bg.rich_analyzer(3)), F.col("tokens"), hashed=True)

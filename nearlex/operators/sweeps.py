@@ -7,10 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearlex.functions import expressions as ex
 from nearlex.operators import ensemble, neighbours as nb, votes
 from nearlex.operators.metrics import first_best, macro_f1
-from nearlex.operators.vectors import weigh
+from nearlex.operators.vectors import bm25_weight, weigh_variants
 from nearlex.session import stage
 
 # The settings swept by default.
@@ -54,14 +53,9 @@ def bm25_grid(
 ) -> DataFrame:
     """Macro-F1 per (k1, b), all settings in one neighbour job keyed by ``rep``."""
     both = bag.join(split.select("doc_id", "is_val"), "doc_id")
-    tables = []
-    for k1 in k1s:
-        for b in bs:
-            weight = lambda tf, dl, idf, k1=k1, b=b: ex.bm25(tf, dl, idf, avgdl, k1, b)
-            tables.append(weigh(both, vocab, weight, "grid").withColumn("rep", F.lit(f"{k1}|{b}")))
-    every = tables[0]
-    for t in tables[1:]:
-        every = every.unionByName(t)
+    every = weigh_variants(
+        both, vocab, {f"{k1}|{b}": bm25_weight(avgdl, k1, b) for k1 in k1s for b in bs}
+    )
     fit = every.filter(~F.col("is_val")).drop("is_val")
     val = every.filter(F.col("is_val")).drop("is_val", "label")
     truth = split.filter("is_val").select(

@@ -6,7 +6,7 @@ A vector table has one row per document, empty ones included:
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,18 +29,26 @@ def tfidf_weight(log_tf: bool = False) -> Weight:
     return lambda tf, dl, idf: ex.tfidf(tf, idf, log_tf)
 
 
-def regroup(entries: DataFrame, keep: list[str]) -> DataFrame:
+def regroup(entries: DataFrame, keep: list[str], by: Sequence[str] = ()) -> DataFrame:
     """Collect long entries (null ``term_id`` = no entry) back to unit vectors.
 
     The only shuffle of weighting: numeric entries, out-of-vocabulary rows
     already dissolved by the map-side combine.
     """
     entry = F.when(F.col("term_id").isNotNull(), F.struct("term_id", "w"))
-    grouped = entries.groupBy(keep[0]).agg(
+    grouped = entries.groupBy(*by, keep[0]).agg(
         *[F.first(c).alias(c) for c in keep[1:]],
         F.array_sort(F.collect_list(entry)).alias("vec"),
     )
-    return grouped.select(*keep, ex.unit_vector(F.col("vec")).alias("vec"))
+    return grouped.select(*by, *keep, ex.unit_vector(F.col("vec")).alias("vec"))
+
+
+def _known_terms(bag: DataFrame, vocab: DataFrame, keep: list[str]) -> DataFrame:
+    """Exploded counts beside ``term_id, idf``, null where the vocabulary has no entry."""
+    rows = bag.select(*keep, "dl", F.explode_outer("terms").alias("t")).select(
+        *keep, "dl", F.col("t.term").alias("term"), F.col("t.tf").alias("tf")
+    )
+    return rows.join(broadcast_if_small(vocab, "term", "term_id", "idf"), "term", "left")
 
 
 def weigh(bag: DataFrame, vocab: DataFrame, weight: Weight, name: str = "vectors") -> DataFrame:
@@ -50,16 +58,28 @@ def weigh(bag: DataFrame, vocab: DataFrame, weight: Weight, name: str = "vectors
     keep an empty vector.
     """
     keep = [c for c in bag.columns if c not in ("dl", "terms")]
-    rows = bag.select(*keep, "dl", F.explode_outer("terms").alias("t")).select(
-        *keep, "dl", F.col("t.term").alias("term"), F.col("t.tf").alias("tf")
-    )
-    lookup = broadcast_if_small(vocab, "term", "term_id", "idf")
-    weighted = rows.join(lookup, "term", "left").select(
+    weighted = _known_terms(bag, vocab, keep).select(
         *keep, "term_id", weight(F.col("tf"), F.col("dl"), F.col("idf")).alias("w")
     )
     return stage(regroup(weighted, keep), name)
 
 
+def weigh_variants(bag: DataFrame, vocab: DataFrame, variants: Mapping[str, Weight]) -> DataFrame:
+    """``weigh`` under several formulas in one job; the ``rep`` column names the formula."""
+    keep = [c for c in bag.columns if c not in ("dl", "terms")]
+    each = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("rep"),
+                weight(F.col("tf"), F.col("dl"), F.col("idf")).alias("w"),
+            )
+            for name, weight in variants.items()
+        ]
+    )
+    weighted = _known_terms(bag, vocab, keep).select(*keep, "term_id", F.inline(each))
+    return stage(regroup(weighted, keep, ["rep"]), "variants")
+
+
 def entries(vectors: DataFrame) -> DataFrame:
     """Long form ``doc_id, ..., term_id, w``; empty vectors yield no row."""
     keep = [c for c in vectors.columns if c != "vec"]
