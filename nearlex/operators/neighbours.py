@@ -190,7 +190,8 @@ def joined(
         "near",
     )
     # Documents sharing no term: only the k of smallest norm can ever be chosen.
-    pool = _pool(normed, k, "_ts", "doc_id")
+    # Norms are ordered rounded, as the distances are.
+    pool = _pool(normed.withColumn("_tr", F.round("_ts", DIGITS)), k, "_tr", "doc_id", "_ts")
     have = near.groupBy("query_id").agg(F.collect_list("train_id").alias("_have"))
     apart = (
         q_sq.join(have, "query_id", "left")
