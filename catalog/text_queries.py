@@ -9,13 +9,14 @@ from catalog.registry import query
 from nearlex.functions import porter, text as tx
 from nearlex.operators import bags as bg
 from nearlex.plans import presets as ps
+from nearlex.session import spread
 
 
 
 def _listing(df, tokens, hashed: bool = False):
     """doc_id, number of tokens, and the tokens (or their digest) as one string."""
     joined = tx.joined(F.col("t"))
-    return df.select("doc_id", tokens.alias("t")).select(
+    return spread(df, "doc_id").select("doc_id", tokens.alias("t")).select(
         "doc_id", F.size("t").cast("long").alias("n"),
         (F.md5(joined) if hashed else joined).alias("tokens"),
     )

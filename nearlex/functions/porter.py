@@ -45,8 +45,18 @@ _STEP4 = (
 )
 
 
+class _Letters(dict):
+    def __missing__(self, _):
+        return "c"
+
+
+_LETTERS = _Letters({ord(v): "v" for v in "aeiou"})
+
+
 def _shape(stem: str) -> str:
     """Write a stem as consonants ``c`` and vowels ``v``."""
+    if "y" not in stem:
+        return stem.translate(_LETTERS)
     out: list[str] = []
     for ch in stem:
         vowel = ch in "aeiou" or (ch == "y" and bool(out) and out[-1] == "c")

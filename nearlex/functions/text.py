@@ -34,7 +34,7 @@ def strip_punctuation(text: Column) -> Column:
 
 def split_words(text: Column) -> Column:
     """Split on Unicode whitespace; never yields an empty token."""
-    return F.regexp_extract_all(text, F.lit(f"([^{WHITESPACE}]+)"), F.lit(1))
+    return F.filter(F.split(text, f"[{WHITESPACE}]+"), lambda t: t != "")
 
 
 def drop_short(tokens: Column, longer_than: int = 1) -> Column:

@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearlex.operators.ranking import head
 from nearlex.operators.vectors import entries
 from nearlex.session import broadcast_if_small, parallelism, stage
 
@@ -52,32 +51,43 @@ def posting_pairs(queries: DataFrame, train: DataFrame, by: Sequence[str] = ())
     return q.join(t, keys).withColumn("pairs", F.col("df_q") * F.col("df_t"))
 
 
+def pair_totals(queries: DataFrame, train: DataFrame, by: Sequence[str] = ()) -> tuple[int, int, int]:
+    """Posting pairs in all, of the heaviest term, and the entries forming them."""
+    row = posting_pairs(queries, train, by).agg(
+        F.sum("pairs"), F.max("pairs"), F.sum(F.col("df_q") + F.col("df_t"))
+    ).first()
+    return tuple(int(x or 0) for x in row)
+
+
 def choose_plan(queries: DataFrame, train: DataFrame, by: Sequence[str] = ()) -> str:
     if not _is_sparse(train):
         return "blocks"
-    pairs = posting_pairs(queries, train, by).agg(F.sum("pairs")).first()[0] or 0
-    size = F.coalesce(F.sum(F.size("vec")), F.lit(0))
-    total = queries.agg(size).first()[0] + train.agg(size).first()[0]
-    return "join" if pairs <= PAIRS_PER_ENTRY * total else "blocks"
+    pairs, _, held = pair_totals(queries, train, by)
+    return "join" if pairs <= PAIRS_PER_ENTRY * held else "blocks"
 
 
-def dot_products(queries: DataFrame, train: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def dot_products(
+    queries: DataFrame, train: DataFrame, by: Sequence[str] = (), heaviest: int | None = None
+) -> DataFrame:
     """``query_id, train_id, [label], dot`` for every pair sharing a term.
 
     A term with very many pairs is split: its queries are dealt over salts and
     its documents repeated once per salt, so no single key stays hot.
+    ``heaviest`` is the pair count of the largest term, if already known.
     """
     extra = _extra(train)
+    if heaviest is None:
+        heaviest = pair_totals(queries, train, by)[1]
     q = entries(queries.select(*by, F.col("doc_id").alias("query_id"), "vec"))
     t = entries(train.select(*by, F.col("doc_id").alias("train_id"), *extra, "vec"))
     keys = [*by, "term_id"]
-    heavy = stage(
-        posting_pairs(queries, train, by)
-        .filter(F.col("pairs") > PAIRS_PER_SALT)
-        .select(*keys, F.ceil(F.col("pairs") / PAIRS_PER_SALT).cast("int").alias("_salts")),
-        "heavy-terms",
-    )
-    if not heavy.isEmpty():
+    if heaviest > PAIRS_PER_SALT:
+        heavy = stage(
+            posting_pairs(queries, train, by)
+            .filter(F.col("pairs") > PAIRS_PER_SALT)
+            .select(*keys, F.ceil(F.col("pairs") / PAIRS_PER_SALT).cast("int").alias("_salts")),
+            "heavy-terms",
+        )
         salts = broadcast_if_small(heavy)
         q = q.join(salts, keys, "left").withColumn(
             "_salt",
@@ -113,7 +123,7 @@ def squared_norms(vectors: DataFrame) -> Column:
 def _pool(train: DataFrame, k: int, *order: str) -> Column:
     """The first ``k`` documents as an array constant; k is a parameter, not data."""
     fields = ["doc_id", *_extra(train), *[c for c in order if c != "doc_id"]]
-    rows = head(train.select(*fields), k, *order).collect()
+    rows = train.select(*fields).orderBy(*order).limit(k).collect()
     kind = T.ArrayType(T.StructType([train.schema[f] for f in fields]))
     literal = [
         F.struct(*[F.lit(r[f]).cast(train.schema[f].dataType).alias(f) for f in fields])
@@ -157,11 +167,11 @@ def fill_short(found: DataFrame, queries: DataFrame, train: DataFrame, k: int) -
 
 def joined(
     queries: DataFrame, train: DataFrame, k: int, metric: str = "cosine", fill: bool = True,
-    by: Sequence[str] = (),
+    by: Sequence[str] = (), heaviest: int | None = None,
 ) -> DataFrame:
     """Neighbours through the inverted-index join."""
     extra = _extra(train)
-    pairs = dot_products(queries, train, by)
+    pairs = dot_products(queries, train, by, heaviest)
     if metric == "cosine":
         found = top_k(
             pairs.select(*by, "query_id", "train_id", *extra, F.round("dot", DIGITS).alias("sim")),
@@ -306,9 +316,11 @@ def nearest(
         raise ValueError("metric must be 'cosine' or 'euclidean'")
     if metric == "euclidean" and not _is_sparse(train):
         raise ValueError("dense Euclidean search is not offered; use cosine")
-    if plan == "auto":
-        plan = choose_plan(queries, train, by)
-    if plan not in ("join", "blocks"):
+    if plan not in ("auto", "join", "blocks"):
         raise ValueError("plan must be 'auto', 'join' or 'blocks'")
-    search = joined if plan == "join" else blocked
-    return search(queries, train, k, metric, fill, by)
+    if plan == "blocks" or not _is_sparse(train):
+        return blocked(queries, train, k, metric, fill, by)
+    pairs, heaviest, held = pair_totals(queries, train, by)
+    if plan == "auto" and pairs > PAIRS_PER_ENTRY * held:
+        return blocked(queries, train, k, metric, fill, by)
+    return joined(queries, train, k, metric, fill, by, heaviest)
