@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from nearlex.functions.text import WHITESPACE
 from nearlex.operators.ranking import head
-from nearlex.session import stage
+from nearlex.session import broadcast_if_small, stage
 
 # A class digit, whitespace, then the text.
 LABELLED_LINE = rf"(?s)^([1-4])[{WHITESPACE}]+(.*)$"
@@ -37,7 +37,8 @@ def with_line_ids(lines: DataFrame) -> DataFrame:
     offsets = splits.select(
         "_file", "_start", "_first", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_offset")
     )
-    joined = placed.join(offsets, ["_file", "_start"])
+    # One row per split: normally broadcast, so the text itself is not shuffled.
+    joined = placed.join(broadcast_if_small(stage(offsets, "offsets")), ["_file", "_start"])
     doc_id = (F.col("_offset") + F.col("_place") - F.col("_first")).cast("long")
     return joined.select(doc_id.alias("doc_id"), *lines.columns)
 
