@@ -187,3 +187,18 @@ def test_plans_stay_distributed(micro):
     assert "CartesianProduct" not in pairs and "NestedLoop" not in pairs
     best = text(nb.top_k(nb.dot_products(micro.queries, micro.train).withColumnRenamed("dot", "sim"), 3))
     assert "WindowGroupLimit" in best
+
+
+def test_tokenising_a_wide_input_does_not_shuffle(spark, tmp_path):
+    from nearlex.functions.text import counted
+    from nearlex.operators import bags as bg
+
+    texts = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("some words here").alias("text"))
+    texts.repartition(16).write.parquet(str(tmp_path / "wide"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        tokens = bg.tokenised(spark.read.parquet(str(tmp_path / "wide")), bg.rich_analyzer(3))
+        plan = tokens.select(counted(F.col("tokens")))._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert "Exchange" not in plan
