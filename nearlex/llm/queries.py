@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nearlex.llm import bpe, language, mixing, quality, simhash
+from nearlex.llm import bpe, hmm, language, mixing, pagetext, quality, rules, simhash, sketch, urlgraph
 from nearlex.llm.base import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -16,14 +16,30 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlgraph.query(table(spark, sf_dir, "pages"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(table(spark, sf_dir, "documents"))
 
 
+def op4_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
 
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -38,7 +54,15 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op3_mixing, op6_simhash, op8_bpe, op9_language)
+    f.__name__: f
+    for f in (
+        op1_quality_classifier, op2_url_graph, op3_mixing, op4_sketch, op5_html, op6_simhash, op7_rules, op8_bpe,
+        op9_language, op10_hidden_markov,
+    )
 }
 ORACLES: dict[str, str] = {"op3_mixing": mixing.SQL}
