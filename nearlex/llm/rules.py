@@ -30,8 +30,8 @@ LEAST_CHUNK = 1024
 CHUNK_SHARE = 0.2
 #: (bytes from, lowest ratio, highest ratio); the frame of a short text alone outweighs its gain.
 BANDS = (
-    (0, 0.00, 99.0), (64, 0.50, 1.40), (128, 0.42, 1.10), (256, 0.38, 0.95), (512, 0.36, 0.88),
-    (1024, 0.33, 0.82), (4096, 0.30, 0.78), (16384, 0.25, 0.76),
+    (0, 0.00, 99.0), (64, 0.50, 1.40), (128, 0.42, 1.10), (256, 0.38, 0.95), (512, 0.36, 0.84),
+    (1024, 0.33, 0.72), (4096, 0.30, 0.70), (16384, 0.25, 0.68),
 )
 _FROM = np.array([b[0] for b in BANDS])
 

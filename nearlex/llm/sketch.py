@@ -44,7 +44,7 @@ def sketch(text: Column, words: int = WORDS, fraction: float = FRACTION) -> Colu
     A shingle is hashed from the hashes of its words.  Texts shorter than a
     shingle are one shingle.
     """
-    limit = -(1 << 63) + int(fraction * 2.0**64)
+    limit = min(-(1 << 63) + int(fraction * 2.0**64), (1 << 63) - 1)
     hashed = F.transform(words_of(text), lambda w: F.xxhash64(w))
 
     def of(h: Column) -> Column:
@@ -76,7 +76,7 @@ def printed(hashes: Column) -> Column:
 
 def merged(one: Column, other: Column, fraction: float = FRACTION) -> Column:
     """The sketch of two sketched texts together."""
-    limit = -(1 << 63) + int(fraction * 2.0**64)
+    limit = min(-(1 << 63) + int(fraction * 2.0**64), (1 << 63) - 1)
 
     def kept(s: Column) -> Column:
         below = F.filter(s, lambda v: v < limit)

@@ -37,7 +37,8 @@ DAMPING = 0.85
 STEPS = 30
 #: Largest change of a share of all mass at which the iteration ends.
 TOLERANCE = 1e-9
-THRESHOLD = 0.5
+#: Share of distrust from which a host is blocked.
+THRESHOLD = 0.25
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"(?i)\bhref\s*=\s*[\"']?(?:[a-z][a-z0-9+.\-]*:)?//([^/?#\"'\s>]+)"
 
