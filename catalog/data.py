@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearlex.operators import bags as bg
@@ -58,10 +58,15 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
 
 
+def turn_id() -> Column:
+    """One number for (conversation, turn): Cantor's pairing, which never collides."""
+    return F.expr("(conv_id + turn) * (conv_id + turn + 1) div 2 + turn").alias("doc_id")
+
+
 def turns(spark: SparkSession, sf: str) -> DataFrame:
     """Short labelled texts: the speaker is the class."""
     return table(spark, sf, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), coded("role", ROLES), "text"
+        turn_id(), coded("role", ROLES), "text"
     )
 
 
@@ -73,9 +78,9 @@ def points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Plain words with BM25 and no selection: the features most queries look at.
-WORDS = ps.Representation(tokens="raw", max_order=1, max_terms=50_000, chi2=0)
+WORDS = ps.Representation(tokens="raw", max_order=1, max_terms=None, chi2=0)
 SUBLINEAR = ps.Representation(
-    tokens="raw", max_order=1, weight="sublinear", max_terms=50_000, chi2=0
+    tokens="raw", max_order=1, weight="sublinear", max_terms=None, chi2=0
 )
 
 

@@ -39,9 +39,8 @@ def v2_random_split(spark, sf):
 
 
 _QUICK = (
-    "head AS (SELECT doc_id, label FROM d ORDER BY doc_id LIMIT 12000), "
     "sp AS MATERIALIZED (SELECT doc_id, label, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 >= "
-    "CASE WHEN count(*) OVER () >= 12000 THEN 10000 ELSE (count(*) OVER () * 10000) // 12000 END AS is_val FROM head)"
+    "(count(*) OVER () * 10000) // 12000 AS is_val FROM d)"
 )
 
 

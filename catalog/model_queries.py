@@ -8,17 +8,15 @@ from __future__ import annotations
 
 
 
-from catalog import data, porter_sql, sql
+from catalog import data, sql
 from catalog.count_queries import r6
 from catalog.registry import query
-from catalog.text_queries import LONG_WORDS, _SUFFIXED, plural_lemmas, stemmed_tokens
+from catalog.model_sql import CHARS, CHARS_WB, K, LEMMAS, RAW, _lemma, scores_sql, stemmed
+from catalog.text_queries import _SUFFIXED, plural_lemmas
 from nearlex.operators import lsi, neighbours as nb, votes
 from nearlex.plans import classify as cl, presets as ps
 from nearlex.session import stage
 
-K = 11
-
-
 def _scores(queries, train, power: float = 1.0):
     found = nb.nearest(queries, train, K, fill=False)
     return votes.class_scores(found, power, None).select("query_id", "label", r6("score"))
@@ -44,80 +42,8 @@ def model(spark, sf, name):
     return select_features(built.train, built.vocab, ps.MODELS[name].chi2, built.queries)
 
 
-def _scored_sql(power: float = 1.0) -> tuple[str, str]:
-    weight = "sim" if power == 1.0 else f"pow(greatest(sim, 0), {power})"
-    return (
-        sql.nearest("nn", "s", "d", K),
-        f"SELECT query_id, label, round(sum({weight}), 6) AS score FROM nn GROUP BY query_id, label",
-    )
-
-
-def _model_sql(spec: ps.Representation, *token_ctes: str, power: float = 1.0) -> str:
-    """From ``dt`` and ``qt`` to class scores."""
-    idf = "bm25" if spec.weight == "bm25" else "smooth"
-    kw = {"k1": spec.k1, "b": spec.b}
-    parts = [
-        *token_ctes, sql.counts("tf", "dt"), sql.stats("dt"), sql.counts("qf", "qt"),
-        sql.vocab("tf", idf, spec.min_df, spec.max_terms, spec.max_df, spec.cap_by),
-        sql.weights("tw", "dt", "tf", spec.weight, **kw), sql.weights("qw", "qt", "qf", spec.weight, **kw),
-    ]
-    train, asked = "tw", "qw"
-    if spec.chi2:
-        parts += [
-            sql.chi2("c", "tw", "d"), sql.selected("ts", "tw", "c", spec.chi2),
-            f"qs_raw AS (SELECT * FROM qw SEMI JOIN ts_top USING (term)), qs AS MATERIALIZED ({sql.unit('qs_raw')})",
-        ]
-        train, asked = "ts", "qs"
-    near, final = _scored_sql(power)
-    return sql.with_(*parts, sql.dots("s", asked, train), near) + final
-
-
-_ALL_WORDS = (
-    f"words AS MATERIALIZED (SELECT DISTINCT unnest({sql.RAW_WORDS}) AS token FROM "
-    "(SELECT text FROM d UNION ALL SELECT text FROM q))"
-)
-
-
-def _stemmed(order: int) -> tuple[str, ...]:
-    return (
-        sql.DOCS, sql.ASKED, _ALL_WORDS, porter_sql.stems(),
-        stemmed_tokens("dt", "d", order), stemmed_tokens("qt", "q", order, label=False),
-    )
-
-
-def _lemma(name: str, source: str, label: bool) -> str:
-    lab = ", label" if label else ""
-    return (
-        f"{name}_p AS (SELECT doc_id, w[i] AS token, i FROM (SELECT doc_id, {sql.RAW_WORDS} AS w FROM {source}), unnest(range(1, len(w) + 1)) AS r(i)), "
-        f"{name}_w AS MATERIALIZED (SELECT doc_id{lab}, coalesce(list(form ORDER BY i) FILTER (form IS NOT NULL), []) AS w FROM {source} LEFT JOIN "
-        f"(SELECT doc_id, i, coalesce(lemma, token) AS form FROM {name}_p LEFT JOIN lemmas USING (token)) USING (doc_id) GROUP BY doc_id{lab}), "
-        f"{name} AS MATERIALIZED (SELECT doc_id{lab}, {sql.ngrams('w', 2)} AS toks FROM {name}_w)"
-    )
-
-
-_LEMMAS = (sql.DOCS, sql.ASKED, _SUFFIXED, _lemma("dt", "d", True), _lemma("qt", "q", False))
-_RAW = (
-    sql.DOCS, sql.ASKED, sql.tokens("dt", "d", sql.RAW_WORDS, 2),
-    sql.tokens("qt", "q", sql.RAW_WORDS, 2, label=False),
-)
-
-
-def _char(pad: str, words: str, whole: bool) -> tuple[str, ...]:
-    grams = sql.chars("ws", 3, 5, pad, whole)
-    return (
-        sql.DOCS, sql.ASKED,
-        f"dw AS (SELECT doc_id, label, {words} AS ws FROM d)", f"qw0 AS (SELECT doc_id, {words} AS ws FROM q)",
-        f"dt AS MATERIALIZED (SELECT doc_id, label, {grams} AS toks FROM dw)",
-        f"qt AS MATERIALIZED (SELECT doc_id, {grams} AS toks FROM qw0)",
-    )
-
-
-_CHARS = _char("_", LONG_WORDS, False)
-_CHARS_WB = _char(" ", f"regexp_extract_all(lower(text), '[^{sql.WHITESPACE}]+')", True)
-
-
 def _register(name: str, tokens: tuple[str, ...]) -> None:
-    @query(_model_sql(ps.MODELS[name], *tokens))
+    @query(scores_sql(ps.MODELS[name], *tokens))
     def run(spark, sf):
         train, asked = model(spark, sf, name)
         return _scores(asked, train)
@@ -135,8 +61,8 @@ def _rename(fn, name: str, old: str) -> None:
 
 
 for _name, _tokens in {
-    "m1": _stemmed(3), "m2": _stemmed(2), "m3": _stemmed(1), "m4": _stemmed(2), "m5": _LEMMAS,
-    "m6": _RAW, "m7": _LEMMAS, "m8": _stemmed(3), "m12": _CHARS,
+    "m1": stemmed(3), "m2": stemmed(2), "m3": stemmed(1), "m4": stemmed(2), "m5": LEMMAS,
+    "m6": RAW, "m7": LEMMAS, "m8": stemmed(3), "m12": CHARS,
 }.items():
     _register(_name, _tokens)
 
@@ -163,7 +89,7 @@ def m13_scores(spark, sf):
 
 
 def _feedback_sql() -> str:
-    body = _model_sql(ps.MODELS["m1"], *_stemmed(3))
+    body = scores_sql(ps.MODELS["m1"], *stemmed(3))
     head, _ = body.rsplit("SELECT query_id, label, round(", 1)
     near10 = sql.nearest("n10", "s", "d", 10)
     extra = [
@@ -188,7 +114,7 @@ def m11_scores(spark, sf):
 _SIMPLE_DOCS = f"list_filter({sql.LETTERS}, lambda t: NOT list_contains({sql.STOP_LIST}, t))"
 
 
-@query(_model_sql(ps.SIMPLE, sql.DOCS, sql.ASKED, sql.tokens("dt", "d", _SIMPLE_DOCS),
+@query(scores_sql(ps.SIMPLE, sql.DOCS, sql.ASKED, sql.tokens("dt", "d", _SIMPLE_DOCS),
                   sql.tokens("qt", "q", _SIMPLE_DOCS, label=False), power=2.0))
 def script_tfidf_scores(spark, sf):
     built = ps.build(ps.SIMPLE, data.documents(spark, sf), data.questions(spark, sf))
@@ -200,17 +126,17 @@ def _script(spark, sf, spec):
     return _scores(built.queries, built.train, 2.0)
 
 
-@query(_model_sql(ps.BM25, *_stemmed(3), power=2.0))
+@query(scores_sql(ps.BM25, *stemmed(3), power=2.0))
 def script_bm25_scores(spark, sf):
     return _script(spark, sf, ps.BM25)
 
 
-@query(_model_sql(ps.SUBLINEAR, *_stemmed(3), power=2.0))
+@query(scores_sql(ps.SUBLINEAR, *stemmed(3), power=2.0))
 def script_sublinear_scores(spark, sf):
     return _script(spark, sf, ps.SUBLINEAR)
 
 
-@query(_model_sql(ps.CHAR_WB, *_CHARS_WB, power=2.0))
+@query(scores_sql(ps.CHAR_WB, *CHARS_WB, power=2.0))
 def script_char_scores(spark, sf):
     return _script(spark, sf, ps.CHAR_WB)
 

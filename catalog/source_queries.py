@@ -44,7 +44,7 @@ def turn_file(spark, sf):
     turns = data.table(spark, sf, "conversations")
     line = F.concat_ws(" ", F.col("turn").cast("string"), _one_line(F.col("text")))
     return _written(
-        spark, turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), line.alias("value"))
+        spark, turns.select(data.turn_id(), line.alias("value"))
     )
 
 
@@ -56,7 +56,7 @@ def raw_file(spark, sf):
 
 
 _TURN_LINES = (
-    f"l AS MATERIALIZED (SELECT row_number() OVER (ORDER BY conv_id * 1000 + turn) - 1 AS line_id, "
+    f"l AS MATERIALIZED (SELECT row_number() OVER (ORDER BY {sql.TURN_ID}) - 1 AS line_id, "
     f"turn || ' ' || {_FLAT} AS value FROM conversations)"
 )
 _RAW_LINES = (

@@ -16,7 +16,8 @@ BY_ROLE = "CAST(CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 WHEN 'syste
 
 DOCS = f"d AS (SELECT doc_id, {BY_LANGUAGE} AS label, text FROM documents)"
 ASKED = "q AS (SELECT item_id AS doc_id, text FROM benchmark)"
-TURNS = f"d AS (SELECT conv_id * 1000 + turn AS doc_id, {BY_ROLE} AS label, text FROM conversations)"
+TURN_ID = "(conv_id + turn) * (conv_id + turn + 1) // 2 + turn"
+TURNS = f"d AS (SELECT {TURN_ID} AS doc_id, {BY_ROLE} AS label, text FROM conversations)"
 
 STRIPPED = f"translate(lower(text), {quoted(PUNCTUATION)}, '')"
 SPLIT = f"regexp_extract_all({STRIPPED}, '[^{WHITESPACE}]+')"
@@ -79,7 +80,7 @@ IDF = {
 
 
 def vocab(
-    tf: str, idf: str = "bm25", min_df: int = 2, cap: int | None = 50_000,
+    tf: str, idf: str = "bm25", min_df: int = 2, cap: int | None = None,
     max_df: float | None = None, by: str = "df", name: str = "v", st: str = "st",
 ) -> str:
     upper = f" AND count(*) <= {max_df} * any_value(n)" if max_df is not None else ""
@@ -205,7 +206,7 @@ def asked_words(order: int = 1, expression: str = RAW_WORDS) -> tuple[str, ...]:
     return ASKED, tokens("qt", "q", expression, order, label=False), counts("qf", "qt")
 
 
-def word_vectors(weight: str = "bm25", order: int = 1, cap: int = 50_000, **kw) -> tuple[str, ...]:
+def word_vectors(weight: str = "bm25", order: int = 1, cap: int | None = None, **kw) -> tuple[str, ...]:
     """Everything up to unit rows of documents (``tw``) and questions (``qw``)."""
     idf = "bm25" if weight == "bm25" else "smooth"
     return (

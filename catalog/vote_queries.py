@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import data, sql
+from catalog import data, model_sql, sql
 from catalog.count_queries import r6
 from catalog.registry import query
 from catalog.search_queries import NEAR, POINT_SPLIT, _EUCLID, _VECTORS, dense_neighbours, near, near_euclid
@@ -74,21 +74,13 @@ def y7_nearest_first_vote(spark, sf):
     return votes.decide(votes.nearest_first_scores(near(spark, sf)))
 
 
-# -- ensembles: plain words under two weightings and characters ----------------------------------
-
-_CHAR_SPEC = data.ps.Representation(
-    tokens="char", weight="sublinear", n_min=3, n_max=3, min_df=3, max_terms=20_000, chi2=0
-)
-
+# -- ensembles: the preset of stemmed words to triples under two weightings, and characters -------
 
 @data.shared
 def members(spark, sf):
     docs, asked = data.documents(spark, sf), data.questions(spark, sf)
-    char = data.ps.build(_CHAR_SPEC, docs, asked)
-    words, plain = data.word_features(spark, sf), data.sublinear_features(spark, sf)
-    fit = {"bm25": words.train, "sublinear": plain.train, "char": char.train}
-    asked = {"bm25": words.queries, "sublinear": plain.queries, "char": char.queries}
-    return fit, asked
+    built = {name: data.ps.build(spec, docs, asked) for name, spec in data.ps.ENSEMBLE.items()}
+    return {n: b.train for n, b in built.items()}, {n: b.queries for n, b in built.items()}
 
 
 @data.shared
@@ -100,33 +92,13 @@ def member_scores(spark, sf):
     return stage(EnsembleClassifier(11).fit(fit).member_scores(asked), "scores")
 
 
-_LONG = "list_filter({split}, lambda t: length(t) > 1)".format(split=sql.SPLIT)
-
-
-def _member(name: str, weight: str, idf: str, docs: str, asked: str, cap: int, min_df: int) -> str:
-    """CTEs giving rows rep, query_id, label, score of one member as ``sc_<name>``."""
-    p = name[0]
-    return ", ".join([
-        sql.vocab(f"{docs}f", idf, min_df, cap, name=f"{p}v", st=f"{docs}st"),
-        sql.weights(f"{p}tw", docs, f"{docs}f", weight, v=f"{p}v", st=f"{docs}st"),
-        sql.weights(f"{p}qw", asked, f"{asked}f", weight, v=f"{p}v", st=f"{docs}st"),
-        sql.dots(f"{p}s", f"{p}qw", f"{p}tw"),
-        sql.nearest(f"{p}n", f"{p}s", "d", 11),
-        f"sc_{name} AS MATERIALIZED (SELECT '{name}' AS rep, query_id, label, sum(pow(greatest(sim, 0), 2)) AS score FROM {p}n GROUP BY query_id, label)",
-    ])
-
-
-_GRAMS = sql.chars(_LONG, 3, 3, "_")
+_TOKENS = {"bm25": model_sql.stemmed(3), "sublinear": model_sql.stemmed(3), "char": model_sql.CHARS_WB}
 MEMBERS = (
-    sql.DOCS, sql.ASKED,
-    sql.tokens("dt", "d", sql.RAW_WORDS), sql.counts("dtf", "dt"), sql.stats("dt", "dtst"),
-    sql.tokens("qt", "q", sql.RAW_WORDS, label=False), sql.counts("qtf", "qt"),
-    sql.tokens("ct", "d", _GRAMS), sql.counts("ctf", "ct"), sql.stats("ct", "ctst"),
-    sql.tokens("cq", "q", _GRAMS, label=False), sql.counts("cqf", "cq"),
-    _member("bm25", "bm25", "bm25", "dt", "qt", 50_000, 2),
-    _member("sublinear", "sublinear", "smooth", "dt", "qt", 50_000, 2),
-    _member("char", "sublinear", "smooth", "ct", "cq", 20_000, 3),
-    "r AS MATERIALIZED (SELECT * FROM sc_bm25 UNION ALL SELECT * FROM sc_sublinear UNION ALL SELECT * FROM sc_char)",
+    sql.ASKED,
+    "r AS MATERIALIZED (" + " UNION ALL ".join(
+        f"SELECT '{name}' AS rep, * FROM ({model_sql.scores_sql(data.ps.ENSEMBLE[name], *tokens, power=2.0, digits=None)})"
+        for name, tokens in _TOKENS.items()
+    ) + ")",
 )
 _REP_WEIGHT = "(CASE rep WHEN 'char' THEN 0.6 WHEN 'lsi' THEN 0.4 ELSE 1.0 END)"
 _SHARES = (

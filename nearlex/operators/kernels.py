@@ -90,6 +90,26 @@ def _squares(table: pa.Table) -> np.ndarray:
     return np.bincount(np.repeat(np.arange(len(sizes)), sizes), w * w, minlength=len(sizes))
 
 
+def _best(merit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the ``k`` best columns of every row, ties to the left, best first."""
+    n = merit.shape[1]
+    if k < n:
+        floor = np.partition(merit, n - k, axis=1)[:, n - k][:, None]
+    else:
+        floor = np.full((len(merit), 1), -np.inf)
+    above = merit > floor
+    level = (merit == floor) & (floor > -np.inf) if k < n else merit == floor
+    # Of the columns on the limit, the leftmost fill what is left of the k.
+    room = k - above.sum(axis=1, keepdims=True)
+    few = level.sum(axis=1) > room[:, 0]
+    if few.any():
+        level[few] &= np.cumsum(level[few], axis=1) <= room[few]
+    keep = (above | level) & (merit > -np.inf)
+    rows, cols = np.nonzero(keep)
+    order = np.lexsort((cols, -merit[rows, cols], rows))
+    return rows[order], cols[order]
+
+
 def best_in_block(
     q: pa.Table, t: pa.Table, k: int, metric: str, overlapping_only: bool, digits: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,13 +132,10 @@ def best_in_block(
         if overlapping_only:
             merit = np.where(acc > 0, merit, -np.inf)
         kk = min(k, n_t)
-        floor = np.partition(merit, n_t - kk, axis=1)[:, n_t - kk]
-        for r in range(len(acc)):
-            cand = np.flatnonzero(merit[r] >= max(floor[r], np.finfo(float).min))
-            best = cand[np.argsort(-merit[r, cand], kind="stable")][:kk]
-            out_q.append(np.full(len(best), lo + r))
-            out_t.append(best)
-            out_v.append(value[r, best])
+        rows, cols = _best(merit, kk)
+        out_q.append(rows + lo)
+        out_t.append(cols)
+        out_v.append(value[rows, cols])
     if not out_q:
         return np.array([], int), np.array([], int), np.array([], float)
     return np.concatenate(out_q), np.concatenate(out_t), np.concatenate(out_v)

@@ -28,8 +28,10 @@ from nearlex.session import broadcast_if_small, parallelism, stage
 DIGITS = 6
 #: Posting pairs per input entry up to which the inverted join is used.
 PAIRS_PER_ENTRY = 8
-#: Posting pairs of one term that one salt handles.
-PAIRS_PER_SALT = 2_000_000
+#: Rows of either side of one term that meet in one cell of a split term.
+ROWS_PER_SALT = 1_500
+#: Copied rows that one task of the block plan receives.
+ROWS_PER_TASK = 100_000
 QUERY_BLOCK_ROWS = 4_096
 TRAIN_BLOCK_ROWS = 65_536
 TRAIN_BLOCK_ENTRIES = 8_000_000
@@ -71,9 +73,11 @@ def dot_products(
 ) -> DataFrame:
     """``query_id, train_id, [label], dot`` for every pair sharing a term.
 
-    A term with very many pairs is split: its queries are dealt over salts and
-    its documents repeated once per salt, so no single key stays hot.
-    ``heaviest`` is the pair count of the largest term, if already known.
+    A term with very many pairs is split on both sides: its queries and its
+    documents are dealt over parts of bounded size, and each side is repeated
+    once per part of the other.  With one query only its own row is repeated, so
+    the copies stay in proportion to the longer side.  ``heaviest`` is the pair
+    count of the largest term, if already known.
     """
     extra = _extra(train)
     if heaviest is None:
@@ -81,22 +85,29 @@ def dot_products(
     q = entries(queries.select(*by, F.col("doc_id").alias("query_id"), "vec"))
     t = entries(train.select(*by, F.col("doc_id").alias("train_id"), *extra, "vec"))
     keys = [*by, "term_id"]
-    if heaviest > PAIRS_PER_SALT:
+    if heaviest > ROWS_PER_SALT**2:
         heavy = stage(
             posting_pairs(queries, train, by)
-            .filter(F.col("pairs") > PAIRS_PER_SALT)
-            .select(*keys, F.ceil(F.col("pairs") / PAIRS_PER_SALT).cast("int").alias("_salts")),
+            .filter(F.col("pairs") > ROWS_PER_SALT**2)
+            .select(
+                *keys, *[F.ceil(F.col(n) / ROWS_PER_SALT).cast("int").alias(p) for n, p in (("df_q", "_qp"), ("df_t", "_tp"))]
+            ),
             "heavy-terms",
         )
         salts = broadcast_if_small(heavy)
-        q = q.join(salts, keys, "left").withColumn(
-            "_salt",
-            F.pmod(F.xxhash64("query_id"), F.coalesce("_salts", F.lit(1))).cast("int"),
-        ).drop("_salts")
-        t = t.join(salts, keys, "left").withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-        ).drop("_salts")
-        keys = [*keys, "_salt"]
+
+        def dealt(rows: DataFrame, row_id: str, own: str, own_parts: str, other: str, other_parts: str) -> DataFrame:
+            parts = [F.coalesce(p, F.lit(1)) for p in (own_parts, other_parts)]
+            return (
+                rows.join(salts, keys, "left")
+                .withColumn(own, F.pmod(F.xxhash64(row_id), parts[0]).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), parts[1] - 1)))
+                .drop("_qp", "_tp")
+            )
+
+        q = dealt(q, "query_id", "_qs", "_qp", "_ts", "_tp")
+        t = dealt(t, "train_id", "_ts", "_tp", "_qs", "_qp")
+        keys = [*keys, "_qs", "_ts"]
     q = q.withColumnRenamed("w", "_wq")
     t = t.withColumnRenamed("w", "_wt")
     return (
@@ -179,11 +190,7 @@ def joined(
         )
         if not fill:
             return found
-        if by:
-            raise ValueError("fill is defined for one representation at a time")
         return fill_short(stage(found, "found"), queries, train, k)
-    if by:
-        raise ValueError("euclidean search handles one representation at a time")
     q_sq = queries.select(F.col("doc_id").alias("query_id"), squared_norms(queries).alias("_qs"))
     normed = train.select("doc_id", *extra, squared_norms(train).alias("_ts"))
     t_sq = normed.select(F.col("doc_id").alias("train_id"), "_ts")
@@ -226,7 +233,8 @@ def joined(
     return top_k(near.unionByName(apart), k, "dist2")
 
 
-def _block_counts(queries: DataFrame, train: DataFrame) -> tuple[int, int]:
+def _block_counts(queries: DataFrame, train: DataFrame) -> tuple[int, int, int, int]:
+    """Rows and blocks of both sides."""
     slots = parallelism(train.sparkSession)
     n_q = queries.count()
     n_t, held = train.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("vec")), F.lit(0))).first()
@@ -237,7 +245,7 @@ def _block_counts(queries: DataFrame, train: DataFrame) -> tuple[int, int]:
         math.ceil(held / TRAIN_BLOCK_ENTRIES),
         min(slots, n_t // 128),
     )
-    return q_blocks, t_blocks
+    return n_q, n_t, q_blocks, t_blocks
 
 
 def blocked(
@@ -251,7 +259,7 @@ def blocked(
 
     by, extra = list(by), _extra(train)
     value = "sim" if metric == "cosine" else "dist2"
-    q_blocks, t_blocks = _block_counts(queries, train)
+    n_q, n_t, q_blocks, t_blocks = _block_counts(queries, train)
     # Every column gets a fresh alias: both sides may come from one stage, and a
     # cogroup must not see the same attribute twice.
     q = queries.select(
@@ -267,8 +275,8 @@ def blocked(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))).alias("_i"),
     )
     cell = [*by, "_i", "_j"]
-    conf = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(min(2 * q_blocks * t_blocks, 4 * conf), parallelism(train.sparkSession))
+    copies = n_q * t_blocks + n_t * q_blocks
+    tasks = max(min(2 * q_blocks * t_blocks, math.ceil(copies / ROWS_PER_TASK)), 2 * parallelism(train.sparkSession))
     q, t = q.repartition(tasks, *cell), t.repartition(tasks, *cell)
 
     fields = [train.schema[c] for c in by]
@@ -318,7 +326,10 @@ def nearest(
         raise ValueError("dense Euclidean search is not offered; use cosine")
     if plan not in ("auto", "join", "blocks"):
         raise ValueError("plan must be 'auto', 'join' or 'blocks'")
-    if plan == "blocks" or not _is_sparse(train):
+    whole = bool(by) and (fill or metric == "euclidean")  # needs the rest of each representation
+    if plan == "join" and whole:
+        raise ValueError("the join plan fills, and measures distances, for one representation at a time")
+    if plan == "blocks" or whole or not _is_sparse(train):
         return blocked(queries, train, k, metric, fill, by)
     pairs, heaviest, held = pair_totals(queries, train, by)
     if plan == "auto" and pairs > PAIRS_PER_ENTRY * held:

@@ -43,6 +43,24 @@ def ranked(
     return out.drop("_part", "_place", "_offset")
 
 
+def before_rank(df: DataFrame, order: Sequence[Column], n: int) -> Column:
+    """Condition that holds for the first ``n`` rows in ``order``, which must tell rows apart.
+
+    Only the order columns are sorted.  The row at position ``n`` becomes a
+    constant, so the rows themselves are neither sorted nor joined.
+    """
+    if n <= 0:
+        return F.lit(False)
+    names = [f"_o{i}" for i in range(len(order))]
+    keys = df.select(*[c.alias(name) for c, name in zip(order, names)])
+    bound = ranked(keys, [F.col(name) for name in names], "_rank").filter(F.col("_rank") == n).first()
+    if bound is None:
+        return F.lit(True)
+    kinds = dict(keys.dtypes)
+    here = F.struct(*[c.alias(name) for c, name in zip(order, names)])
+    return here < F.struct(*[F.lit(bound[name]).cast(kinds[name]).alias(name) for name in names])
+
+
 def head(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """First ``n`` rows in ``order``."""
-    return ranked(df, [F.col(c) for c in order], "_rank", n).drop("_rank")
+    """First ``n`` rows in ``order``, which must tell rows apart."""
+    return df.filter(before_rank(df, [F.col(c) for c in order], n))

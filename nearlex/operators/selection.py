@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearlex.operators.ranking import ranked
 from nearlex.operators.vectors import entries, regroup
-from nearlex.session import broadcast_if_small, stage
+from nearlex.functions.expressions import unit_vector
+from nearlex.session import broadcast_if_small, collected_if_small, stage
 
 
 def chi2_scores(train: DataFrame, label_col: str = "label") -> DataFrame:
@@ -40,9 +44,34 @@ def best_terms(scores: DataFrame, vocab: DataFrame, k: int) -> DataFrame:
     return stage(ranked(named, order, "rank", k), "selected")
 
 
+def _kept_in_row(vectors: DataFrame, known: pa.Table, keep: list[str]) -> DataFrame:
+    """Entries on the selected terms, unit again, without leaving the row."""
+    sent = vectors.sparkSession.sparkContext.broadcast(known.combine_chunks())
+
+    def run(batches):
+        chosen = sent.value.column("term_id").combine_chunks()
+        for batch in batches:
+            lists = batch.column("vec")
+            flat, rows = pc.list_flatten(lists), pc.list_parent_indices(lists)
+            real = pc.is_in(pc.struct_field(flat, 0), value_set=chosen)
+            sizes = np.bincount(np.asarray(rows.filter(real)), minlength=batch.num_rows)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in keep], pa.ListArray.from_arrays(offsets, flat.filter(real))],
+                names=[*keep, "vec"],
+            )
+
+    rows = vectors.select(*keep, "vec")
+    kept = rows.mapInArrow(run, rows.schema)
+    return kept.select(*keep, unit_vector(F.col("vec")).alias("vec"))
+
+
 def keep_terms(vectors: DataFrame, selected: DataFrame, name: str = "selected-vectors") -> DataFrame:
     """Keep the selected terms and renormalise every row."""
     keep = [c for c in vectors.columns if c != "vec"]
+    known = collected_if_small(selected, "term_id")
+    if known is not None:
+        return stage(_kept_in_row(vectors, known, keep), name)
     rows = vectors.select(*keep, F.explode_outer("vec").alias("e")).select(
         *keep, F.col("e.term_id").alias("_id"), F.col("e.w").alias("w")
     )

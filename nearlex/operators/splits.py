@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearlex.operators.ranking import head, ranked
+from nearlex.operators.ranking import before_rank, head, ranked
 from nearlex.session import stage
 
 
@@ -16,6 +16,10 @@ def shuffle_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
 
 
+#: Fit rows of so many rows in a quick search.
+FIT_PARTS = (10_000, 12_000)
+
+
 def class_quotas(counts: dict[int, int], val_size: float) -> dict[int, int]:
     """Validation rows per class: largest remainders, ties to the lower label."""
     n = sum(counts.values())
@@ -23,11 +27,16 @@ def class_quotas(counts: dict[int, int], val_size: float) -> dict[int, int]:
     exact = {c: counts[c] * n_fit / n for c in counts}
     fit = {c: math.floor(x) for c, x in exact.items()}
     spare = n_fit - sum(fit.values())
-    for c in sorted(counts, key=lambda c: (-round(exact[c] - fit[c], 9), c))[:spare]:
+    for c in sorted(counts, key=lambda c: (-round(exact[c] - fit[c], 9), *_null_first(c)))[:spare]:
         fit[c] += 1
     return {c: counts[c] - fit[c] for c in counts}
 
 
+def _null_first(label: int | None) -> tuple:
+    """Sort key of a class; rows without a label are a class of their own."""
+    return (label is not None, label or 0)
+
+
 def stratified_holdout(
     docs: DataFrame, val_size: float = 0.1, seed: int = 42,
     id_col: str = "doc_id", label_col: str = "label",
@@ -41,9 +50,9 @@ def stratified_holdout(
     counts = {r[0]: r[1] for r in rows.groupBy(label_col).count().collect()}
     quotas = class_quotas(counts, val_size) if counts else {}
     ordered = rows.withColumn("_key", shuffle_key(id_col, seed))
-    order = [F.col(label_col), F.col("_key"), F.col(id_col)]
+    order = [F.asc_nulls_first(label_col), F.col("_key"), F.col(id_col)]
     is_val, start = F.lit(False), 0
-    for label in sorted(counts):
+    for label in sorted(counts, key=_null_first):
         inside = (F.col("_rank") >= start) & (F.col("_rank") < start + quotas[label])
         is_val = is_val | inside
         start += counts[label]
@@ -57,23 +66,23 @@ def random_split(
     """Input rows with ``is_val``: shuffled, the first ``fit_share`` (or rows) fit."""
     n = docs.count()
     fit = int(fit_share * n) if fit_rows is None else fit_rows
-    ordered = ranked(
-        docs.withColumn("_key", shuffle_key(id_col, seed)), [F.col("_key"), F.col(id_col)], "_rank"
-    )
-    return ordered.withColumn("is_val", F.col("_rank") >= fit).drop("_key", "_rank")
+    order = [shuffle_key(id_col, seed), F.col(id_col)]
+    return docs.withColumn("is_val", ~before_rank(docs, order, fit))
 
 
 def quick_search_split(
-    docs: DataFrame, rows: int = 12_000, fit_rows: int = 10_000, seed: int = 42,
+    docs: DataFrame, rows: int | None = None, fit_rows: int | None = None, seed: int = 42,
     id_col: str = "doc_id",
 ) -> DataFrame:
-    """The first ``rows`` documents, shuffled into fit and validation parts.
+    """Documents shuffled into five parts to fit and one to validate.
 
-    A smaller corpus keeps the same proportion.
+    ``rows`` takes the first rows only and ``fit_rows`` bounds the fit part;
+    every other row is validated.  By default all rows are used.
     """
-    subset = stage(head(docs, rows, id_col), "subset")
+    subset = docs if rows is None else head(docs, rows, id_col)
     n = subset.count()
-    fit = fit_rows if n >= rows else n * fit_rows // rows
+    share = n * FIT_PARTS[0] // FIT_PARTS[1]
+    fit = share if fit_rows is None else min(fit_rows, share)
     return random_split(subset, seed=seed, id_col=id_col, fit_rows=fit)
 
 

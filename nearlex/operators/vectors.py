@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearlex.functions import expressions as ex
-from nearlex.session import broadcast_if_small, stage
+from nearlex.session import broadcast_if_small, collected_if_small, stage
 
 Weight = Callable[[Column, Column, Column], Column]
 
@@ -43,12 +46,66 @@ def regroup(entries: DataFrame, keep: list[str], by: Sequence[str] = ()) -> Data
     return grouped.select(*by, *keep, ex.unit_vector(F.col("vec")).alias("vec"))
 
 
+#: Parts over which the documents of a term are dealt when the vocabulary is joined.
+TERM_PARTS = 16
+
+
 def _known_terms(bag: DataFrame, vocab: DataFrame, keep: list[str]) -> DataFrame:
-    """Exploded counts beside ``term_id, idf``, null where the vocabulary has no entry."""
-    rows = bag.select(*keep, "dl", F.explode_outer("terms").alias("t")).select(
-        *keep, "dl", F.col("t.term").alias("term"), F.col("t.tf").alias("tf")
+    """Exploded counts beside ``term_id, idf``, null where the vocabulary has no entry.
+
+    For a vocabulary too large for a task: every term is repeated over a few
+    parts and the documents are dealt over them, so a frequent term is not hot.
+    """
+    part = F.pmod(F.xxhash64(keep[0]), F.lit(TERM_PARTS)).cast("int")
+    rows = bag.select(*keep, "dl", part.alias("_part"), F.explode_outer("terms").alias("t")).select(
+        *keep, "dl", "_part", F.col("t.term").alias("term"), F.col("t.tf").alias("tf")
+    )
+    parts = F.explode(F.sequence(F.lit(0), F.lit(TERM_PARTS - 1))).alias("_part")
+    known = vocab.select("term", "term_id", "idf", parts)
+    return rows.join(known, ["term", "_part"], "left").drop("_part")
+
+
+def looked_up(bag: DataFrame, known: pa.Table, keep: list[str]) -> DataFrame:
+    """``keep, dl, found``: the counts of known terms with their ``term_id, idf``, inside the row.
+
+    An Arrow step against a table whose size was checked: no row is exploded
+    and nothing is shuffled.
+    """
+    sent = bag.sparkSession.sparkContext.broadcast(known.combine_chunks())
+    fields = [f"`{c}` {kind}" for c, kind in bag.dtypes if c in keep]
+    counted = dict(bag.dtypes)["terms"].split("tf:")[1].rstrip(">")
+    entry = f"array<struct<term_id:int,tf:{counted},idf:double>>"
+
+    def run(batches):
+        table = sent.value
+        terms, ids, idf = (table.column(c).combine_chunks() for c in ("term", "term_id", "idf"))
+        for batch in batches:
+            lists = batch.column("terms")
+            flat, rows = pc.list_flatten(lists), pc.list_parent_indices(lists)
+            at = pc.index_in(pc.struct_field(flat, 0), value_set=terms)
+            real = pc.is_valid(at)
+            at = at.filter(real)
+            sizes = np.bincount(np.asarray(rows.filter(real)), minlength=batch.num_rows)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            found = pa.StructArray.from_arrays(
+                [ids.take(at).cast(pa.int32()), pc.struct_field(flat, 1).filter(real), idf.take(at)],
+                names=["term_id", "tf", "idf"],
+            )
+            columns = [batch.column(c) for c in [*keep, "dl"]]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.ListArray.from_arrays(offsets, found)], names=[*keep, "dl", "found"]
+            )
+
+    return bag.select(*keep, "dl", "terms").mapInArrow(
+        run, ", ".join([*fields, f"dl {dict(bag.dtypes)['dl']}", f"found {entry}"])
+    )
+
+
+def _weighed_in_row(found: DataFrame, keep: list[str], weight: Weight) -> Column:
+    vec = F.transform(
+        "found", lambda e: F.struct(e["term_id"].alias("term_id"), weight(e["tf"], F.col("dl"), e["idf"]).alias("w"))
     )
-    return rows.join(broadcast_if_small(vocab, "term", "term_id", "idf"), "term", "left")
+    return ex.unit_vector(F.array_sort(vec)).alias("vec")
 
 
 def weigh(bag: DataFrame, vocab: DataFrame, weight: Weight, name: str = "vectors") -> DataFrame:
@@ -58,6 +115,10 @@ def weigh(bag: DataFrame, vocab: DataFrame, weight: Weight, name: str = "vectors
     keep an empty vector.
     """
     keep = [c for c in bag.columns if c not in ("dl", "terms")]
+    known = collected_if_small(vocab, "term", "term_id", "idf")
+    if known is not None:
+        found = looked_up(bag, known, keep)
+        return stage(found.select(*keep, _weighed_in_row(found, keep, weight)), name)
     weighted = _known_terms(bag, vocab, keep).select(
         *keep, "term_id", weight(F.col("tf"), F.col("dl"), F.col("idf")).alias("w")
     )
@@ -67,6 +128,13 @@ def weigh(bag: DataFrame, vocab: DataFrame, weight: Weight, name: str = "vectors
 def weigh_variants(bag: DataFrame, vocab: DataFrame, variants: Mapping[str, Weight]) -> DataFrame:
     """``weigh`` under several formulas in one job; the ``rep`` column names the formula."""
     keep = [c for c in bag.columns if c not in ("dl", "terms")]
+    known = collected_if_small(vocab, "term", "term_id", "idf")
+    if known is not None:
+        found = looked_up(bag, known, keep)
+        variants_in_row = F.array(
+            *[F.struct(F.lit(n).alias("rep"), _weighed_in_row(found, keep, w)) for n, w in variants.items()]
+        )
+        return stage(found.select(*keep, F.inline(variants_in_row)).select("rep", *keep, "vec"), "variants")
     each = F.array(
         *[
             F.struct(

@@ -74,6 +74,15 @@ def broadcast_if_small(
     return F.broadcast(out) if size <= limit else out
 
 
+def collected_if_small(df: DataFrame, *columns: str, limit: int = BROADCAST_LIMIT_BYTES):
+    """Chosen ``columns`` as an Arrow table if ``df`` measures under ``limit``, else ``None``."""
+    size = getattr(df, "_nearlex_bytes", None)
+    if size is None:
+        size = measured_bytes(df)
+        df._nearlex_bytes = size
+    return df.select(*columns).toArrow() if size <= limit else None
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, 1)
 

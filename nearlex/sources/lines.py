@@ -6,30 +6,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearlex.functions.text import WHITESPACE
-from nearlex.operators.ranking import head
 from nearlex.session import broadcast_if_small, stage
 
 # A class digit, whitespace, then the text.
 LABELLED_LINE = rf"(?s)^([1-4])[{WHITESPACE}]+(.*)$"
 
 
+_PLACE = ("_file", "_start")
+
+
+def _placed(lines: DataFrame) -> DataFrame:
+    """Lines of text files beside the split they come from."""
+    return lines.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")
+    )
+
+
 def with_line_ids(lines: DataFrame) -> DataFrame:
-    """Add the 0-based line number of the files, read in path and offset order.
+    """Add the 0-based line number of text files, read in path and offset order.
 
-    Each split numbers its own lines and the splits' sizes (one row each) give
-    the offsets, so no line passes through a single task.
+    Rows of ``_placed`` already parsed and filtered get consecutive numbers of their own.  Each
+    split numbers its rows and the splits' sizes (one row each) give the
+    offsets, so no line is sorted or passes through a single task.
     """
     from pyspark.sql import Window
 
-    placed = stage(
-        lines.select(
-            "*",
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_start"),
-            F.monotonically_increasing_id().alias("_place"),
-        ),
-        "lines",
-    )
+    if _PLACE[0] not in lines.columns:
+        lines = _placed(lines)
+    placed = stage(lines.withColumn("_place", F.monotonically_increasing_id()), "lines")
     order = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     splits = placed.groupBy("_file", "_start").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")
@@ -40,11 +44,7 @@ def with_line_ids(lines: DataFrame) -> DataFrame:
     # One row per split: normally broadcast, so the text itself is not shuffled.
     joined = placed.join(broadcast_if_small(stage(offsets, "offsets")), ["_file", "_start"])
     doc_id = (F.col("_offset") + F.col("_place") - F.col("_first")).cast("long")
-    return joined.select(doc_id.alias("doc_id"), *lines.columns)
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    return with_line_ids(spark.read.text(path))
+    return joined.select(doc_id.alias("doc_id"), *[c for c in lines.columns if c not in _PLACE])
 
 
 def valid_text(value: Column) -> Column:
@@ -98,33 +98,25 @@ def drop_blank(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.withColumn(value, trimmed(F.col(value))).filter(F.col(value) != "")
 
 
-def _renumbered(df: DataFrame) -> DataFrame:
-    """Ids count the kept rows only, in file order."""
-    from nearlex.operators.ranking import ranked
-
-    rest = [c for c in df.columns if c != "doc_id"]
-    return ranked(df, [F.col("doc_id")], "_id").select(F.col("_id").alias("doc_id"), *rest)
-
-
 def read_labelled(
     spark: SparkSession, path: str, *, strict: bool = True, replace_invalid: bool = True,
     max_rows: int | None = None,
 ) -> DataFrame:
     """``doc_id, label, text`` of a labelled file; ``doc_id`` counts documents."""
-    lines = _read(spark, path)
+    lines = _placed(spark.read.text(path))
     if replace_invalid:
         lines = lines.withColumn("value", valid_text(F.col("value")))
-    docs = _renumbered(parse_labelled(lines) if strict else parse_lenient(lines))
-    return head(docs, max_rows, "doc_id") if max_rows is not None else docs
+    docs = with_line_ids(parse_labelled(lines) if strict else parse_lenient(lines))
+    return docs.filter(F.col("doc_id") < max_rows) if max_rows is not None else docs
 
 
 def read_unlabelled(
     spark: SparkSession, path: str, *, keep_blank: bool = True, replace_invalid: bool = True
 ) -> DataFrame:
     """``doc_id, text``; dropping blank lines renumbers the rest."""
-    lines = _read(spark, path)
+    lines = _placed(spark.read.text(path))
     if replace_invalid:
         lines = lines.withColumn("value", valid_text(F.col("value")))
     if not keep_blank:
-        lines = _renumbered(drop_blank(lines))
-    return lines.withColumnRenamed("value", "text")
+        lines = drop_blank(lines)
+    return with_line_ids(lines).withColumnRenamed("value", "text")
