@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from nearlex.session import ship_package
 
 #: Bytes of one Arrow batch between the JVM and Python, so that long texts cannot fill a worker.
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

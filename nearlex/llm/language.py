@@ -57,22 +57,30 @@ def grams(word: str, size: int) -> list[str]:
     return [padded[i : i + size] for i in range(len(padded) - size + 1)]
 
 
+@dataclass
+class Table:
+    """Log frequencies: one row of ``logs`` an entry, one column a language."""
+
+    place: dict[str, int]
+    logs: np.ndarray
+
+
 @dataclass
 class Model:
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: Table
+    grams: Table
     prior: np.ndarray
 
     def word(self, word: str) -> np.ndarray:
         """Log score of a word in each language."""
-        held = self.words.get(word)
-        if held is not None:
-            return held
+        at = self.words.place.get(word)
+        if at is not None:
+            return self.words.logs[at]
         for size in range(LONGEST, 0, -1):
-            found = [g for g in map(self.grams.get, grams(word, size)) if g is not None]
+            found = [g for g in map(self.grams.place.get, grams(word, size)) if g is not None]
             if found:
-                return np.mean(found, axis=0)
+                return self.grams.logs[found].mean(axis=0)
         return np.zeros(len(self.languages))
 
     def predict(self, column: pa.Array, held: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:
@@ -87,7 +95,7 @@ class Model:
             row = held.get(word)
             if row is None:
                 row = self.word(word)
-                if len(held) < 200_000 and len(word) < 40:
+                if len(held) < 50_000 and len(word) < 40:
                     held[word] = row
             table[i] = row
         codes = np.asarray(coded.indices)
@@ -99,14 +107,17 @@ class Model:
         return names, np.where(known, posterior, 0.0)
 
 
-def _log_table(counts: list, languages: list[str], totals: dict[str, float]) -> dict[str, np.ndarray]:
+def _log_table(counts: list, languages: list[str], totals: dict[str, float]) -> Table:
     """Log frequencies per language of every counted entry, smoothed by a constant."""
-    place = {name: i for i, name in enumerate(languages)}
-    out: dict[str, np.ndarray] = {}
+    column = {name: i for i, name in enumerate(languages)}
+    place: dict[str, int] = {}
+    for row in counts:
+        place.setdefault(row["entry"], len(place))
+    values = np.full((len(place), len(languages)), SMOOTHING)
     for row in counts:
-        out.setdefault(row["entry"], np.full(len(languages), SMOOTHING))[place[row["lang"]]] += row["n"]
-    size = np.array([totals[name] for name in languages]) + SMOOTHING * (len(out) + 1)
-    return {entry: np.log(values / size) for entry, values in out.items()}
+        values[place[row["entry"]], column[row["lang"]]] += row["n"]
+    size = np.array([totals[name] for name in languages]) + SMOOTHING * (len(place) + 1)
+    return Table(place, np.log(values / size))
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -117,7 +128,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     )
     per = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()}
     if not per:
-        return Model([], {}, {}, np.zeros(0))
+        return Model([], Table({}, np.zeros((0, 0))), Table({}, np.zeros((0, 0))), np.zeros(0))
     languages = sorted(per)
     share = F.create_map(*[F.lit(x) for name in languages for x in (name, sample_rows / per[name])])
     chance = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / float(1 << 20)
@@ -173,10 +184,11 @@ def identify(docs: DataFrame) -> DataFrame:
 def recognised(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, with a language whose posterior is at least ``threshold``."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs))
+    held: dict[str, np.ndarray] = {}
 
     @pandas_udf("double")
     def score(text):
-        names, value = model.value.predict(pa.array(text, pa.string(), from_pandas=True), {})
+        names, value = model.value.predict(pa.array(text, pa.string(), from_pandas=True), held)
         return text.__class__(np.where([n != UNKNOWN for n in names], value, 0.0), index=text.index)
 
     return docs.filter(score(F.col("text")) >= threshold)

@@ -448,8 +448,9 @@ def test_language_on_held_out_rows(spark):
 
 
 def test_language_backs_off_to_shorter_grams():
-    table = {"abc": np.array([-1.0, -2.0]), "x": np.array([-3.0, -1.0])}
-    model = language.Model(["a", "b"], {"word": np.array([-5.0, -6.0])}, table, np.zeros(2))
+    table = language.Table({"abc": 0, "x": 1}, np.array([[-1.0, -2.0], [-3.0, -1.0]]))
+    words = language.Table({"word": 0}, np.array([[-5.0, -6.0]]))
+    model = language.Model(["a", "b"], words, table, np.zeros(2))
     assert list(model.word("word")) == [-5.0, -6.0]
     assert list(model.word("zabcz")) == [-1.0, -2.0]  # its three-letter gram, not the single letters
     assert list(model.word("zxz")) == [-3.0, -1.0]
