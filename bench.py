@@ -18,6 +18,7 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
 
 from catalog import QUERIES, data  # noqa: E402
 from compare import local_session  # noqa: E402
+from nearlex.session import remove_stages  # noqa: E402
 
 HEADLINE = (
     "t1_simple_tokens", "t12_raw_word_stream", "t14_char_grams", "a3_document_frequency",
@@ -35,6 +36,7 @@ def main() -> None:
     took = {}
     for name in wanted:
         data.forget()
+        remove_stages(spark)
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         took[name] = round(time.perf_counter() - start, 3)

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 
 
+from dataclasses import replace
+
 from catalog import data, sql
 from catalog.count_queries import r6
 from catalog.registry import query
-from catalog.model_sql import CHARS, CHARS_WB, K, LEMMAS, RAW, _lemma, scores_sql, stemmed
-from catalog.text_queries import _SUFFIXED, plural_lemmas
+from catalog.model_sql import CHARS, CHARS_WB, K, LEMMAS, RAW, SUFFIXED, lemma_tokens, scores_sql, stemmed
+from catalog.text_queries import plural_lemmas
 from nearlex.operators import lsi, neighbours as nb, votes
 from nearlex.plans import classify as cl, presets as ps
 from nearlex.session import stage
@@ -68,8 +70,9 @@ for _name, _tokens in {
 
 
 def _reduced(spark, sf, name: str):
-    base = unselected(spark, sf, ps.REDUCED_MODELS[name])
-    fitted = lsi.fit_components(base.train, ps.COMPONENTS)
+    base = unselected(spark, sf, ps.REDUCTIONS[name].base)
+    spec = ps.REDUCTIONS[name]
+    fitted = lsi.fit_components(base.train, spec.components, spec.passes, spec.seed)
     return _scores(lsi.project(base.queries, fitted), lsi.project(base.train, fitted))
 
 
@@ -121,6 +124,17 @@ def script_tfidf_scores(spark, sf):
     return _scores(built.queries, built.train, 2.0)
 
 
+_LEMMA_SPEC = replace(ps.SIMPLE, lemmas=True)
+
+
+@query(scores_sql(ps.SIMPLE, sql.DOCS, sql.ASKED, SUFFIXED, lemma_tokens("dt", "d", True, _SIMPLE_DOCS, 1),
+                  lemma_tokens("qt", "q", False, _SIMPLE_DOCS, 1), power=2.0))
+def script_tfidf_lemma_scores(spark, sf):
+    docs, asked = data.documents(spark, sf), data.questions(spark, sf)
+    built = ps.build(_LEMMA_SPEC, docs, asked, lemma_table(spark, sf))
+    return _scores(built.queries, built.train, 2.0)
+
+
 def _script(spark, sf, spec):
     built = ps.build(spec, data.documents(spark, sf), data.questions(spark, sf))
     return _scores(built.queries, built.train, 2.0)
@@ -141,11 +155,21 @@ def script_char_scores(spark, sf):
     return _script(spark, sf, ps.CHAR_WB)
 
 
+@query()
+def script_bm25_lsi_predictions(spark, sf):
+    """One representation with its components in place of the matrix."""
+    predicted, _ = cl.classify(
+        data.documents(spark, sf), data.questions(spark, sf), {"bm25": ps.BM25},
+        lsi=ps.LsiSpec(components=100), val_size=None,
+    )
+    return predicted
+
+
 @query()
 def script_ensemble_predictions(spark, sf):
     """All four representations, feedback on the BM25 queries, no hold-out."""
     predicted, _ = cl.classify(
         data.documents(spark, sf), data.questions(spark, sf), ps.ENSEMBLE, ps.ENSEMBLE_WEIGHTS,
-        lsi=ps.LsiSpec(components=50), prf_n=10, val_size=None,
+        lsi=ps.LsiSpec(components=300), prf_n=10, val_size=None,
     )
     return predicted

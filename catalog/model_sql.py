@@ -51,17 +51,17 @@ def stemmed(order: int) -> tuple[str, ...]:
     )
 
 
-def _lemma(name: str, source: str, label: bool) -> str:
+def lemma_tokens(name: str, source: str, label: bool, words: str = sql.RAW_WORDS, order: int = 2) -> str:
     lab = ", label" if label else ""
     return (
-        f"{name}_p AS (SELECT doc_id, w[i] AS token, i FROM (SELECT doc_id, {sql.RAW_WORDS} AS w FROM {source}), unnest(range(1, len(w) + 1)) AS r(i)), "
+        f"{name}_p AS (SELECT doc_id, w[i] AS token, i FROM (SELECT doc_id, {words} AS w FROM {source}), unnest(range(1, len(w) + 1)) AS r(i)), "
         f"{name}_w AS MATERIALIZED (SELECT doc_id{lab}, coalesce(list(form ORDER BY i) FILTER (form IS NOT NULL), []) AS w FROM {source} LEFT JOIN "
         f"(SELECT doc_id, i, coalesce(lemma, token) AS form FROM {name}_p LEFT JOIN lemmas USING (token)) USING (doc_id) GROUP BY doc_id{lab}), "
-        f"{name} AS MATERIALIZED (SELECT doc_id{lab}, {sql.ngrams('w', 2)} AS toks FROM {name}_w)"
+        f"{name} AS MATERIALIZED (SELECT doc_id{lab}, {sql.ngrams('w', order)} AS toks FROM {name}_w)"
     )
 
 
-LEMMAS = (sql.DOCS, sql.ASKED, SUFFIXED, _lemma("dt", "d", True), _lemma("qt", "q", False))
+LEMMAS = (sql.DOCS, sql.ASKED, SUFFIXED, lemma_tokens("dt", "d", True), lemma_tokens("qt", "q", False))
 RAW = (
     sql.DOCS, sql.ASKED, sql.tokens("dt", "d", sql.RAW_WORDS, 2),
     sql.tokens("qt", "q", sql.RAW_WORDS, 2, label=False),

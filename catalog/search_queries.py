@@ -89,11 +89,11 @@ def x6_explained_variance(spark, sf):
 
 
 @query(sql.with_(*_VECTORS, sql.dots("s", "qw", "tw"))
-       + "SELECT query_id, train_id, round(dot, 6) AS sim FROM s")
+       + "SELECT query_id, train_id, round(dot, 6) AS sim FROM s WHERE round(dot, 6) >= 0.1")
 def k1_sparse_cosine(spark, sf):
     fitted = data.word_features(spark, sf)
     pairs = nb.dot_products(fitted.queries, fitted.train.drop("label"))
-    return pairs.select("query_id", "train_id", r6("sim", F.col("dot")))
+    return pairs.select("query_id", "train_id", r6("sim", F.col("dot"))).filter("sim >= 0.1")
 
 
 _EUCLID = (

@@ -1,12 +1,15 @@
-"""Text functions, Column in and Column out, all evaluated in the JVM."""
+"""Text functions, Column in and Column out; counting and character n-grams are Arrow steps."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from nearlex.functions.batches import count_batch, gram_batch
+
 # The 32 ASCII punctuation characters.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -93,22 +96,16 @@ def keep_orders(tokens: Column, max_order: int) -> Column:
     return F.filter(tokens, lambda t: ngram_order(t) <= max_order)
 
 
-def _windows(word: Column, n: int) -> Column:
-    """All substrings of length ``n``; empty if the word is shorter."""
-    last = F.char_length(word) - (n - 1)
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.substring(word, i, F.lit(n)))
+def _grams(words: Column, n_min: int, n_max: int, pad: str, whole_short: bool) -> Column:
+    def cut(lists: pa.Array) -> pa.Array:
+        return gram_batch(lists, n_min, n_max, pad, whole_short)
+
+    return F.arrow_udf(cut, "array<string>")(words)
 
 
 def char_grams(text: Column, n_min: int = 3, n_max: int = 5) -> Column:
     """Character n-grams of ``_word_`` for each stripped word over one letter."""
-    words = drop_short(split_words(strip_punctuation(text)))
-
-    def grams(word: Column) -> Column:
-        padded = F.concat(F.lit("_"), word, F.lit("_"))
-        return let(padded, lambda p: F.concat(*[_windows(p, n) for n in range(n_min, n_max + 1)]))
-
-    return F.flatten(F.transform(words, grams))
+    return _grams(drop_short(split_words(strip_punctuation(text))), n_min, n_max, "_", False)
 
 
 def char_grams_in_word(text: Column, n_min: int = 3, n_max: int = 5) -> Column:
@@ -116,44 +113,13 @@ def char_grams_in_word(text: Column, n_min: int = 3, n_max: int = 5) -> Column:
 
     A padded word shorter than ``n_min`` is emitted whole, once.
     """
-
-    def grams(word: Column) -> Column:
-        padded = F.concat(F.lit(" "), word, F.lit(" "))
-
-        def sizes(p: Column) -> Column:
-            whole = F.when(F.char_length(p) < n_min, F.array(p)).otherwise(
-                F.array().cast("array<string>")
-            )
-            return F.concat(whole, *[_windows(p, n) for n in range(n_min, n_max + 1)])
-
-        return let(padded, sizes)
-
-    return F.flatten(F.transform(split_words(F.lower(text)), grams))
+    return _grams(split_words(F.lower(text)), n_min, n_max, " ", True)
 
 
 def counted(tokens: Column) -> Column:
     """Term counts of one document: ``array<struct<term, tf>>``, terms sorted.
 
-    Sorts the tokens inside the row and measures run lengths, so counting needs
-    no explode and no shuffle however large the corpus is.
+    A narrow Arrow step: counting needs no explode and no shuffle however large
+    the corpus is.
     """
-
-    def runs(a: Column) -> Column:
-        n = F.size(a)
-        starts = F.filter(
-            F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")),
-            lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1)),
-        )
-
-        def lengths(p: Column) -> Column:
-            return F.transform(
-                p,
-                lambda s, j: F.struct(
-                    F.get(a, s).alias("term"),
-                    (F.coalesce(F.get(p, j + 1), n) - s).cast("long").alias("tf"),
-                ),
-            )
-
-        return let(starts, lengths)
-
-    return let(F.sort_array(tokens), runs)
+    return F.arrow_udf(count_batch, "array<struct<term:string,tf:bigint>>")(tokens)

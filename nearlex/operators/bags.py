@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearlex.functions import porter, text as tx
 from nearlex.functions.stopwords import ENGLISH
-from nearlex.session import BROADCAST_LIMIT_BYTES, measured_bytes, spread, stage
+from nearlex.session import BROADCAST_LIMIT_BYTES, bound_batches, collected_if_small, spread, stage
+
+#: Parts over which the rows of one token are dealt when a large table is joined.
+TOKEN_PARTS = 16
 
 Analyzer = Callable[[Column], Column]
 
@@ -47,6 +53,7 @@ def rich_analyzer(
 
 def tokenised(docs: DataFrame, analyzer: Analyzer, text_col: str = "text") -> DataFrame:
     """Replace the text column by ``tokens``; narrow unless the input is one split."""
+    bound_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c != text_col]
     return spread(docs, *keep[:1]).select(*keep, analyzer(F.col(text_col)).alias("tokens"))
 
@@ -60,21 +67,31 @@ def normalised_by_table(
 ) -> DataFrame:
     """Replace each token by its form in ``table``; a missing token stays itself.
 
-    A table under ``limit`` bytes is broadcast to the exploded tokens; a larger
-    one is shuffle-joined.  Token order is restored from the stored positions.
+    A table under ``limit`` bytes is looked up inside the row, by batches of
+    dictionary-encoded tokens; a larger one is shuffle-joined, with the rows of
+    a token dealt over a few parts, and token order is restored from the stored
+    positions.
     """
     keep = [c for c in tokens.columns if c != "tokens"]
-    key = keep[0]
-    small = measured_bytes(table) <= limit
-    forms = table.select(F.col(token_col).alias("_tok"), F.col(form_col).alias("_form"))
-    placed = tokens.select(*keep, F.posexplode_outer("tokens").alias("_pos", "_tok"))
-    matched = placed.join(F.broadcast(forms) if small else forms, "_tok", "left")
+    forms = stage(
+        table.select(F.col(token_col).alias("_tok"), F.col(form_col).alias("_form")).filter(
+            F.col("_tok").isNotNull() & F.col("_form").isNotNull()
+        ),
+        "forms",
+    )
+    known = collected_if_small(forms, "_tok", "_form", limit=limit)
+    if known is not None:
+        return _replaced_in_row(tokens, known, keep)
+    part = F.pmod(F.xxhash64(keep[0]), F.lit(TOKEN_PARTS)).cast("int")
+    placed = tokens.select(*keep, part.alias("_part"), F.posexplode_outer("tokens").alias("_pos", "_tok"))
+    spread_forms = forms.select("*", F.explode(F.sequence(F.lit(0), F.lit(TOKEN_PARTS - 1))).alias("_part"))
+    matched = placed.join(spread_forms, ["_tok", "_part"], "left")
     entry = F.when(
         F.col("_tok").isNotNull(),
         F.struct("_pos", F.coalesce("_form", "_tok").alias("_word")),
     )
     return (
-        matched.groupBy(key)
+        matched.groupBy(keep[0])
         .agg(
             *[F.first(c).alias(c) for c in keep[1:]],
             F.array_sort(F.collect_list(entry)).alias("_entries"),
@@ -83,6 +100,26 @@ def normalised_by_table(
     )
 
 
+def _replaced_in_row(tokens: DataFrame, known: pa.Table, keep: list[str]) -> DataFrame:
+    sent = tokens.sparkSession.sparkContext.broadcast(known.combine_chunks())
+    rows = tokens.select(*keep, "tokens")
+
+    def run(batches):
+        words, forms = (sent.value.column(c).combine_chunks() for c in ("_tok", "_form"))
+        for batch in batches:
+            lists = batch.column("tokens")
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            coded = pc.list_flatten(lists).dictionary_encode()
+            at = pc.index_in(coded.dictionary, value_set=words)
+            spelled = pc.coalesce(forms.take(at), coded.dictionary).take(coded.indices)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in keep], pa.ListArray.from_arrays(offsets, spelled)], names=[*keep, "tokens"]
+            )
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def bags(tokens: DataFrame, name: str = "bags") -> DataFrame:
     """Stage ``doc_id, ..., dl, terms`` where ``dl`` counts every token.
 

@@ -99,28 +99,36 @@ def search_weights(
     sharp: DataFrame, truth: DataFrame, base: Mapping[str, float], lowest_label: int,
     baseline_f1: float = 0.0, rounds: int = 2, seed: int = 42,
 ) -> tuple[dict[str, float], float]:
-    """Best weighting found from the starts and ``rounds`` of refinement.
+    """Best weighting found by refining every start ``rounds`` times.
 
-    Each round scores all candidates in one job and keeps the first best; the
-    next round multiplies single weights of it up and down.  Returned weights
-    beat ``baseline_f1`` or are the normalised base.
+    Each round multiplies single weights of each start's best up and down and
+    scores all moves of all starts in one job.  Ties go to the earlier start and
+    move.  Returned weights beat ``baseline_f1`` or are the normalised base.
     """
-    candidates = starting_weights(base, seed=seed)
-    best, best_f1 = candidates[0], baseline_f1
+    starts = starting_weights(base, seed=seed)
+    held: list[tuple[dict[str, float], float]] = [(dict(w), -1.0) for w in starts]
     for turn in range(rounds + 1):
-        table = score_candidates(sharp, truth, candidates, lowest_label)
-        top = table.orderBy(F.round("macro_f1", 9).desc(), "candidate").first()
-        if top is None or top["macro_f1"] <= best_f1 + 1e-9:
-            if turn:
-                break
-        else:
-            best, best_f1 = dict(candidates[top["candidate"]]), float(top["macro_f1"])
-        step = 2.0 / (turn + 1)
-        candidates = [dict(best)]
-        for name in best:
-            for factor in (step + 1.0, 1.0 / (step + 1.0)):
-                moved = dict(best)
-                moved[name] *= factor
-                total = sum(moved.values()) or 1.0
-                candidates.append({n: w / total for n, w in moved.items()})
+        owners, candidates = [], []
+        step = 2.0 / max(turn, 1)
+        for owner, (weights, _) in enumerate(held):
+            moves = [dict(weights)]
+            for name in weights if turn else ():
+                for factor in (step + 1.0, 1.0 / (step + 1.0)):
+                    moved = {**weights, name: weights[name] * factor}
+                    total = sum(moved.values()) or 1.0
+                    moves.append({n: w / total for n, w in moved.items()})
+            owners += [owner] * len(moves)
+            candidates += moves
+        scored = {r["candidate"]: float(r["macro_f1"]) for r in score_candidates(sharp, truth, candidates, lowest_label).collect()}
+        improved = False
+        for i, owner in enumerate(owners):
+            if scored.get(i, -1.0) > held[owner][1] + 1e-9:
+                held[owner] = (candidates[i], scored[i])
+                improved = True
+        if not improved:
+            break
+    best, best_f1 = dict(starts[0]), baseline_f1
+    for weights, f1 in held:
+        if f1 > best_f1 + 1e-9:
+            best, best_f1 = dict(weights), f1
     return best, best_f1

@@ -78,6 +78,7 @@ class EnsembleClassifier:
         self._members: dict[str, NeighbourClassifier] = {}
 
     def fit(self, train: Mapping[str, DataFrame]) -> "EnsembleClassifier":
+        self._members = {}
         for name, vectors in train.items():
             member = NeighbourClassifier(
                 self.k, self.metric, "weighted", self.sim_power, self.plan
@@ -134,12 +135,12 @@ def holdout_f1(
 
 def refitted_holdout_f1(
     docs: DataFrame, spec: "ps.Representation", k: int = 11, sim_power: float = 2.0,
-    voting: str = "weighted", val_size: float = 0.1, seed: int = 42,
+    voting: str = "weighted", val_size: float = 0.1, seed: int = 42, lemmas: DataFrame | None = None,
 ) -> DataFrame:
     """Macro-F1 with the vocabulary and selection fitted on the fit part only."""
     split = stage(splits.stratified_holdout(docs, val_size, seed), "holdout")
     fit_docs, val_docs = splits.parts(docs, split)
-    fitted = ps.build(spec, fit_docs, val_docs.drop("label"))
+    fitted = ps.build(spec, fit_docs, val_docs.drop("label"), lemmas)
     model = NeighbourClassifier(k, "cosine", voting, sim_power).fit(fitted.train)
     truth = val_docs.select(F.col("doc_id").alias("query_id"), F.col("label").alias("truth"))
     return macro_f1(truth.join(model.predict(fitted.queries), "query_id"))
@@ -150,10 +151,14 @@ def classify(
     weights: Mapping[str, float] | None = None, *, k: int = 11, metric: str = "cosine",
     sim_power: float = 2.0, voting: str = "weighted", lsi: "ps.LsiSpec | None" = None,
     prf_n: int = 0, prf_alpha: float = 0.8, val_size: float | None = 0.1, seed: int = 42,
+    lemmas: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Predictions for ``queries`` and the hold-out macro-F1 (or ``None``).
 
-    Feedback expands the ``bm25`` queries only, never the hold-out rows.
+    ``lemmas`` (token, lemma) serves the representations that use lemmas.  LSI
+    joins an ensemble as one more member and takes the place of a single
+    representation.  Feedback expands the ``bm25`` queries only, never the
+    hold-out rows.
     """
     if lsi is not None and lsi.base not in specs:
         raise ValueError(f"LSI needs the {lsi.base!r} representation")
@@ -161,10 +166,13 @@ def classify(
         raise ValueError("LSI requires cosine similarity")
     fit, asked = {}, {}
     for name, spec in specs.items():
-        built = ps.build(spec, train, queries)
+        built = ps.build(spec, train, queries, lemmas)
         fit[name], asked[name] = built.train, built.queries
     if lsi is not None:
-        fit["lsi"], asked["lsi"] = ps.reduce(fit[lsi.base], asked[lsi.base], lsi.components)
+        single = len(specs) == 1 and not weights
+        fit["lsi"], asked["lsi"] = ps.reduce(fit[lsi.base], asked[lsi.base], lsi)
+        if single:
+            fit, asked = {"lsi": fit["lsi"]}, {"lsi": asked["lsi"]}
     f1 = None
     if val_size:
         one = len(fit) == 1 and not weights

@@ -20,6 +20,7 @@ class Representation:
     """How a text becomes a vector.
 
     ``tokens``: ``simple`` | ``rich`` | ``raw`` | ``lemma`` | ``char`` | ``char_wb``
+    ``lemmas``: words of the ``simple`` path are replaced by the lemma table, which wins over stems
     ``weight``: ``bm25`` | ``sublinear`` | ``tfidf`` | ``log_tfidf``
     ``chi2``:   terms kept by chi-squared, 0 for all
     """
@@ -38,12 +39,17 @@ class Representation:
     n_max: int = 5
     stop_words: tuple[str, ...] = ENGLISH
     stemmed: bool = False
+    lemmas: bool = False
 
 
 @dataclass(frozen=True)
 class LsiSpec:
+    """Components of ``base``: added to an ensemble, in its place where it is the only member."""
+
     base: str = "bm25"
     components: int = 300
+    passes: int = 7
+    seed: int = 42
 
 
 @dataclass
@@ -87,7 +93,9 @@ MODELS: dict[str, Representation] = {
     ),
 }
 REDUCED_MODELS = {"m9": "m8", "m10": "m1", "m13": "m12"}
-COMPONENTS = 300
+REDUCTIONS = {
+    "m9": LsiSpec("m8", 300, 5, 42), "m10": LsiSpec("m1", 300, 5, 17), "m13": LsiSpec("m12", 300, 5, 7),
+}
 
 
 def enabled(
@@ -100,7 +108,7 @@ def enabled(
 
 def analyzer(spec: Representation) -> bg.Analyzer:
     if spec.tokens == "simple":
-        return bg.simple_analyzer(spec.stop_words, porter.stem if spec.stemmed else None)
+        return bg.simple_analyzer(spec.stop_words, porter.stem if spec.stemmed and not spec.lemmas else None)
     if spec.tokens == "rich":
         return bg.rich_analyzer(spec.max_order, spec.stop_words)
     if spec.tokens == "raw":
@@ -116,6 +124,10 @@ def analyzer(spec: Representation) -> bg.Analyzer:
 
 def bag_of(spec: Representation, docs: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
     tokens = bg.tokenised(docs, analyzer(spec))
+    if spec.tokens == "simple" and spec.lemmas:
+        if lemmas is None:
+            raise ValueError("lemma tokens need a token, lemma table")
+        return bg.bags(bg.normalised_by_table(tokens, lemmas))
     if spec.tokens == "lemma":
         if lemmas is None:
             raise ValueError("lemma tokens need a token, lemma table")
@@ -158,9 +170,9 @@ def build(
     return Fitted(vocab, fit, asked, avgdl)
 
 
-def reduce(train: DataFrame, queries: DataFrame | None, components: int):
+def reduce(train: DataFrame, queries: DataFrame | None, spec: LsiSpec):
     """Dense rows of both tables on the components fitted on ``train``."""
-    fitted = ls.fit_components(train, components)
+    fitted = ls.fit_components(train, spec.components, spec.passes, spec.seed)
     asked = None if queries is None else ls.project(queries, fitted)
     return ls.project(train, fitted), asked
 

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 #: Largest table (estimated bytes in memory) that may be broadcast by a hint.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1_000
+
 _RUN = uuid.uuid4().hex[:12]
 
 
@@ -44,6 +47,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_stages(spark: SparkSession) -> None:
+    """Delete every table this run has staged; results that still read them become invalid."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/nearlex-{_RUN}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Estimated in-memory size of a (staged) table from its own rows."""
     size: Column = F.lit(16)
@@ -83,6 +93,12 @@ def collected_if_small(df: DataFrame, *columns: str, limit: int = BROADCAST_LIMI
     return df.select(*columns).toArrow() if size <= limit else None
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small enough for rows that grow on the way (n-grams of long texts)."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, 1)
 

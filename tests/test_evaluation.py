@@ -84,3 +84,24 @@ def test_k_sweep_at_one_k_equals_a_direct_run(spark):
     swept = {r["k"]: r["macro_f1"] for r in sweeps.k_sweep(found, truth, (1, 3), 1).collect()}
     assert swept[1] == 1.0
     assert swept[3] == sweeps.k_sweep(found, truth, (3,), 1).first()["macro_f1"] == pytest.approx(2 / 3)
+
+
+def test_weight_search_is_no_worse_than_any_start(spark):
+    from nearlex.operators import ensemble
+
+    rows = [("a", q, label, 0.9 if (q % 3 == label - 1) else 0.1) for q in range(12) for label in (1, 2, 3)]
+    rows += [("b", q, label, 0.8 if (q % 2 == label - 1) else 0.2) for q in range(12) for label in (1, 2, 3)]
+    sharp = spark.createDataFrame(rows, "rep string, query_id bigint, label int, score double")
+    truth = spark.createDataFrame([(q, q % 3 + 1) for q in range(12)], "query_id bigint, truth int")
+    base = {"a": 0.1, "b": 1.0}
+    best, f1 = ensemble.search_weights(sharp, truth, base, 1)
+    starts = ensemble.starting_weights(base)
+    scored = ensemble.score_candidates(sharp, truth, [best, *starts], 1).collect()
+    by = {r["candidate"]: r["macro_f1"] for r in scored}
+    assert by[0] == pytest.approx(f1) and all(f1 >= v - 1e-9 for v in by.values())
+
+
+def test_holdout_with_rows_without_a_label(spark):
+    docs = spark.createDataFrame([(i, i % 3 or None) for i in range(30)], "doc_id bigint, label int")
+    split = splits.stratified_holdout(docs, 0.2)
+    assert split.count() == 30 and split.filter("is_val").count() == 6

@@ -110,3 +110,32 @@ def test_svd_against_numpy(spark):
 def test_component_count_is_cut_to_the_data(spark):
     _, vectors = _random_vectors(spark, 4, 6, 1)
     assert lsi.fit_components(vectors, 50).rank == 3
+
+
+def test_weighting_and_selection_stay_in_the_row(micro):
+    """No exchange after the bags while the vocabulary passes the size check; the join gives the same rows."""
+    from nearlex.functions.expressions import unit_vector  # noqa: F401
+    from nearlex.operators import selection, vectors as vx
+
+    known = micro.vocab.select("term", "term_id", "idf").toArrow()
+    found = vx.looked_up(micro.bag, known, ["doc_id", "label"])
+    plan = found.select("doc_id", vx._weighed_in_row(found, ["doc_id"], vx.bm25_weight(2.8)))._jdf.queryExecution().toString()
+    assert "Exchange" not in plan
+    kept = selection._kept_in_row(micro.train, micro.vocab.limit(3).select("term_id").toArrow(), ["doc_id", "label"])
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    joined = vx._known_terms(micro.bag, micro.vocab, ["doc_id", "label"]).select(
+        "doc_id", "label", "term_id", vx.bm25_weight(2.8)(F.col("tf"), F.col("dl"), F.col("idf")).alias("w")
+    )
+    by_join = {r["doc_id"]: [(e["term_id"], round(e["w"], 9)) for e in r["vec"]] for r in vx.regroup(joined, ["doc_id", "label"]).collect()}
+    in_row = {r["doc_id"]: [(e["term_id"], round(e["w"], 9)) for e in r["vec"]] for r in micro.train.collect()}
+    assert by_join == in_row
+
+
+def test_first_rows_without_sorting_them(spark):
+    from nearlex.operators.ranking import before_rank, head
+
+    frame = spark.createDataFrame([(i, "t" * i) for i in (5, 3, 9, 1)], "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in head(frame, 2, "doc_id").collect()) == [1, 3]
+    assert head(frame, 9, "doc_id").count() == 4 and head(frame, 0, "doc_id").count() == 0
+    marked = frame.withColumn("first", before_rank(frame, [F.col("doc_id")], 2))
+    assert "Exchange" not in marked._jdf.queryExecution().executedPlan().toString()

@@ -52,10 +52,31 @@ def test_plans_equal_brute_force(spark, metric, value, k, monkeypatch):
     want = brute(q, t, k, metric)
     assert collected(nb.nearest(queries, train, k, metric=metric, plan="blocks"), value, 1000) == want
     assert collected(nb.nearest(queries, train, k, metric=metric, plan="join"), value, 1000) == want
-    monkeypatch.setattr(nb, "PAIRS_PER_SALT", 50)
+    monkeypatch.setattr(nb, "ROWS_PER_SALT", 7)
     assert collected(nb.nearest(queries, train, k, metric=metric, plan="join"), value, 1000) == want
 
 
+def test_one_query_is_repeated_not_its_documents(spark, monkeypatch):
+    """A heavy term with a single query copies the query once per part of the documents."""
+    monkeypatch.setattr(nb, "ROWS_PER_SALT", 5)
+    t, train = random_table(spark, 160, 30, 1)
+    q, queries = random_table(spark, 8, 30, 2, label=False, first_id=1000)
+    one = collected(nb.nearest(queries.filter("doc_id = 1000"), train, 9, plan="join"), "sim", 1000)
+    assert one[0] == brute(q, t, 9, "cosine")[0]
+
+
+def test_same_answer_whatever_the_number_of_pairs(spark):
+    """Filling and distances over several representations never depend on the data's size."""
+    for hot in (True, False):
+        _, train = random_table(spark, 40, 30, 1, hot=hot)
+        _, queries = random_table(spark, 10, 30, 2, label=False, first_id=1000, hot=hot)
+        two = [d.withColumn("rep", nb.F.lit("a")) for d in (queries, train)]
+        assert nb.nearest(*two, 3, by=["rep"]).count() == 30
+        assert nb.nearest(*two, 3, metric="euclidean", by=["rep"]).count() == 30
+        with pytest.raises(ValueError):
+            nb.nearest(*two, 3, by=["rep"], plan="join")
+
+
 def test_one_hot_term_in_every_row_uses_blocks(spark):
     _, train = random_table(spark, 120, 10, 1)
     _, queries = random_table(spark, 60, 10, 2, label=False, first_id=1000)
