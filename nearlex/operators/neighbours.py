@@ -1,6 +1,6 @@
 """Exact nearest neighbours between two vector tables.
 
-Two plans give the same rows:
+Three plans:
 
 ``join``    an inverted-index equi-join on the term, heavy terms salted.  Used
             when the measured number of posting pairs is linear in the input.
@@ -9,7 +9,10 @@ Two plans give the same rows:
             documents per query.  No pair is emitted, no key can be hot, and a
             task's memory is set by the block sizes.
 
-``auto`` counts the posting pairs first and picks one.
+``pruned``  as ``blocks``, but documents are blocked by content and a query
+            travels only to blocks whose bound reaches its k-th similarity so far.
+
+``auto`` counts the posting pairs first and picks one; all give the same rows.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nearlex.operators.ranking import ranked
 from nearlex.operators.vectors import entries
 from nearlex.session import broadcast_if_small, parallelism, stage
 
@@ -34,6 +38,8 @@ ROWS_PER_SALT = 1_500
 ROWS_PER_TASK = 100_000
 QUERY_BLOCK_ROWS = 4_096
 TRAIN_BLOCK_ROWS = 65_536
+#: Documents from which blocks are chosen by bounds; below, all blocks are few.
+PRUNED_ROWS = 8 * TRAIN_BLOCK_ROWS
 TRAIN_BLOCK_ENTRIES = 8_000_000
 
 
@@ -253,12 +259,7 @@ def blocked(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Neighbours through block products; each row travels to the blocks it meets."""
-    from nearlex.operators.kernels import _sorted_by_id, best_in_block
-
-    import pyarrow as pa
-
     by, extra = list(by), _extra(train)
-    value = "sim" if metric == "cosine" else "dist2"
     n_q, n_t, q_blocks, t_blocks = _block_counts(queries, train)
     # Every column gets a fresh alias: both sides may come from one stage, and a
     # cogroup must not see the same attribute twice.
@@ -274,17 +275,29 @@ def blocked(
         F.pmod(F.xxhash64("doc_id"), F.lit(t_blocks)).alias("_j"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))).alias("_i"),
     )
-    cell = [*by, "_i", "_j"]
     copies = n_q * t_blocks + n_t * q_blocks
     tasks = max(min(2 * q_blocks * t_blocks, math.ceil(copies / ROWS_PER_TASK)), 2 * parallelism(train.sparkSession))
+    overlapping_only = not fill and metric == "cosine" and _is_sparse(train)
+    found = _multiplied(q, t, train, k, metric, by, overlapping_only, tasks)
+    return top_k(found, k, "sim" if metric == "cosine" else "dist2", by)
+
+
+def _multiplied(
+    q: DataFrame, t: DataFrame, train: DataFrame, k: int, metric: str, by: list[str], overlapping_only: bool, tasks: int
+) -> DataFrame:
+    """The best ``k`` documents of each query in every cell ``by, _i, _j`` that both sides have."""
+    from nearlex.operators.kernels import _sorted_by_id, best_in_block
+
+    import pyarrow as pa
+
+    extra, cell, digits = _extra(train), [*by, "_i", "_j"], DIGITS
+    value = "sim" if metric == "cosine" else "dist2"
     q, t = q.repartition(tasks, *cell), t.repartition(tasks, *cell)
 
     fields = [train.schema[c] for c in by]
     fields += [T.StructField("query_id", T.LongType()), T.StructField("train_id", T.LongType())]
     fields += [train.schema[c] for c in extra] + [T.StructField("_value", T.DoubleType())]
     out_schema = T.StructType(fields)
-    overlapping_only = not fill and metric == "cosine" and _is_sparse(train)
-    digits = DIGITS
 
     def multiply(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
@@ -304,8 +317,67 @@ def blocked(
         return pa.table(columns)
 
     found = q.groupBy(*cell).cogroup(t.groupBy(*cell)).applyInArrow(multiply, out_schema)
-    found = found.withColumn(value, F.round("_value", DIGITS) + F.lit(0.0)).drop("_value")
-    return top_k(found, k, value, by)
+    return found.withColumn(value, F.round("_value", DIGITS) + F.lit(0.0)).drop("_value")
+
+
+def content_blocks(train: DataFrame, rows: int) -> DataFrame:
+    """``train`` with ``_j``: documents with the same leading term are in the same block or in neighbours.
+
+    Only ids and leading terms are sorted; blocks hold ``rows`` documents each.
+    """
+    leading = F.array_max(F.transform("vec", lambda e: F.struct(e["w"].alias("w"), e["term_id"].alias("term_id"))))
+    placed = ranked(
+        train.select("doc_id", F.coalesce(leading["term_id"], F.lit(-1)).alias("_lead")),
+        [F.col("_lead"), F.col("doc_id")], "_rank",
+    ).select("doc_id", F.floor(F.col("_rank") / F.lit(rows)).cast("long").alias("_j"))
+    return train.join(placed, "doc_id")
+
+
+def pruned(queries: DataFrame, train: DataFrame, k: int, fill: bool = True, rows: int | None = None) -> DataFrame:
+    """Cosine neighbours through the blocks that can hold them; the same rows as ``blocked``.
+
+    Weights are not negative, so a query's product with the largest weight of
+    each term in a block bounds its similarity to every document there.  The
+    block of the largest bound is searched first; its k-th similarity is a
+    threshold, and a query travels only to the blocks whose bound reaches it.
+    """
+    extra = _extra(train)
+    blocks = stage(content_blocks(train, rows or TRAIN_BLOCK_ROWS), "content-blocks")
+    peaks = (
+        blocks.select("_j", F.inline("vec")).groupBy("_j", "term_id").agg(F.max("w").alias("w"))
+        .groupBy(F.col("_j").alias("doc_id")).agg(F.collect_list(F.struct("term_id", "w")).alias("vec"))
+    )
+    # The margin covers the rounding of similarities and the order of additions.
+    bounds = stage(
+        dot_products(queries, stage(peaks, "peaks")).select(
+            "query_id", F.col("train_id").alias("_j"), (F.col("dot") + 2 * 10.0**-DIGITS).alias("bound")
+        ),
+        "bounds",
+    )
+    asked = queries.select(F.col("doc_id").alias("query_id"), "vec")
+    home = bounds.groupBy("query_id").agg(F.max_by("_j", F.struct("bound", "_j")).alias("_j"))
+
+    def search(cells: DataFrame, name: str) -> DataFrame:
+        cells = stage(cells.select("query_id", "_j", F.pmod(F.xxhash64("query_id"), F.lit(64)).alias("_i")), "cells")
+        fresh = lambda *names: [F.col(n).alias(n) for n in names]  # noqa: E731  as in ``blocked``
+        q = cells.join(asked, "query_id").select(*fresh("query_id", "vec", "_i", "_j"))
+        t = blocks.join(cells.select(*fresh("_i", "_j")).distinct(), "_j").select(
+            *fresh(*extra), F.col("doc_id").alias("train_id"), *fresh("vec", "_i", "_j")
+        )
+        tasks = max(2 * parallelism(train.sparkSession), math.ceil(cells.count() / ROWS_PER_TASK))
+        return stage(_multiplied(q, t, train, k, "cosine", [], True, tasks), name)
+
+    first = search(home, "home")
+    limit = top_k(first, k).groupBy("query_id").agg(
+        F.when(F.count(F.lit(1)) >= k, F.min("sim")).otherwise(F.lit(0.0)).alias("_limit")
+    )
+    others = (
+        bounds.join(home.withColumnRenamed("_j", "_home"), "query_id")
+        .join(limit, "query_id", "left")
+        .filter((F.col("_j") != F.col("_home")) & (F.col("bound") >= F.coalesce("_limit", F.lit(0.0))))
+    )
+    found = stage(top_k(first.unionByName(search(others, "others")), k), "found")
+    return fill_short(found, queries, train, k) if fill else found.filter("sim > 0")
 
 
 def nearest(
@@ -324,14 +396,20 @@ def nearest(
         raise ValueError("metric must be 'cosine' or 'euclidean'")
     if metric == "euclidean" and not _is_sparse(train):
         raise ValueError("dense Euclidean search is not offered; use cosine")
-    if plan not in ("auto", "join", "blocks"):
-        raise ValueError("plan must be 'auto', 'join' or 'blocks'")
+    if plan not in ("auto", "join", "blocks", "pruned"):
+        raise ValueError("plan must be 'auto', 'join', 'blocks' or 'pruned'")
+    if plan == "pruned" and (by or metric != "cosine" or not _is_sparse(train)):
+        raise ValueError("the pruned plan is for cosine over one sparse representation")
     whole = bool(by) and (fill or metric == "euclidean")  # needs the rest of each representation
     if plan == "join" and whole:
         raise ValueError("the join plan fills, and measures distances, for one representation at a time")
     if plan == "blocks" or whole or not _is_sparse(train):
         return blocked(queries, train, k, metric, fill, by)
+    if plan == "pruned":
+        return pruned(queries, train, k, fill)
     pairs, heaviest, held = pair_totals(queries, train, by)
+    if plan == "auto" and not by and metric == "cosine" and train.count() > PRUNED_ROWS:
+        return pruned(queries, train, k, fill)
     if plan == "auto" and pairs > PAIRS_PER_ENTRY * held:
         return blocked(queries, train, k, metric, fill, by)
     return joined(queries, train, k, metric, fill, by, heaviest)

@@ -56,6 +56,34 @@ def test_plans_equal_brute_force(spark, metric, value, k, monkeypatch):
     assert collected(nb.nearest(queries, train, k, metric=metric, plan="join"), value, 1000) == want
 
 
+@pytest.mark.parametrize("fill", [True, False])
+def test_pruned_plan_equals_blocks(spark, fill):
+    _, train = random_table(spark, 160, 30, 1)
+    _, queries = random_table(spark, 23, 30, 2, label=False, first_id=1000)
+    for k in (5, 500):
+        want = nb.blocked(queries, train, k, fill=fill)
+        got = nb.pruned(queries, train, k, fill=fill, rows=20)
+        assert collected(got, "sim", 1000) == collected(want, "sim", 1000)
+
+
+def test_pruned_plan_visits_few_cells_of_clustered_rows(spark, monkeypatch):
+    """Twenty groups with terms of their own: a query meets its own block and its neighbour at most."""
+    rows = [(i, 1, [(10 * (i % 20) + j, 0.5) for j in range(4)]) for i in range(400)]
+    train = spark.createDataFrame(rows, "doc_id bigint, label int, vec array<struct<term_id: int, w: double>>")
+    asked = train.filter("doc_id < 40").select((nb.F.col("doc_id") + 1000).alias("doc_id"), "vec")
+    cells = []
+    inner = nb._multiplied
+
+    def counted(q, t, *rest):
+        cells.append(q.count())
+        return inner(q, t, *rest)
+
+    monkeypatch.setattr(nb, "_multiplied", counted)
+    found = nb.pruned(asked, train, 5, rows=20)
+    assert found.count() == 200 and found.agg(nb.F.min("sim")).first()[0] == 1.0
+    assert sum(cells) <= 2 * 40 < 40 * 20 / 5
+
+
 def test_one_query_is_repeated_not_its_documents(spark, monkeypatch):
     """A heavy term with a single query copies the query once per part of the documents."""
     monkeypatch.setattr(nb, "ROWS_PER_SALT", 5)
