@@ -79,7 +79,8 @@ def y7_nearest_first_vote(spark, sf):
 @data.shared
 def members(spark, sf):
     docs, asked = data.documents(spark, sf), data.questions(spark, sf)
-    built = {name: data.ps.build(spec, docs, asked) for name, spec in data.ps.ENSEMBLE.items()}
+    held: dict = {}
+    built = {name: data.ps.build(spec, docs, asked, held=held) for name, spec in data.ps.ENSEMBLE.items()}
     return {n: b.train for n, b in built.items()}, {n: b.queries for n, b in built.items()}
 
 

@@ -165,8 +165,9 @@ def classify(
     if lsi is not None and metric != "cosine":
         raise ValueError("LSI requires cosine similarity")
     fit, asked = {}, {}
+    held: dict = {}
     for name, spec in specs.items():
-        built = ps.build(spec, train, queries, lemmas)
+        built = ps.build(spec, train, queries, lemmas, held=held)
         fit[name], asked[name] = built.train, built.queries
     if lsi is not None:
         single = len(specs) == 1 and not weights

@@ -148,13 +148,22 @@ def weighting(spec: Representation, avgdl: float) -> vx.Weight:
 
 def build(
     spec: Representation, train: DataFrame, queries: DataFrame | None = None,
-    lemmas: DataFrame | None = None, select: bool = True,
+    lemmas: DataFrame | None = None, select: bool = True, held: dict | None = None,
 ) -> Fitted:
     """Fit on ``train`` (doc_id, label, text) and transform ``queries`` (doc_id, text).
 
-    Queries use the fitted vocabulary, IDF and average length.
+    Queries use the fitted vocabulary, IDF and average length.  ``held`` keeps
+    the counts for another representation of the same tokens and texts.
     """
-    bag = bag_of(spec, train, lemmas)
+    counts = (spec.tokens, spec.max_order, spec.n_min, spec.n_max, spec.stop_words, spec.stemmed, spec.lemmas)
+    held = {} if held is None else held
+
+    def counted(side: str, docs: DataFrame) -> DataFrame:
+        if (side, counts) not in held:
+            held[side, counts] = bag_of(spec, docs, lemmas)
+        return held[side, counts]
+
+    bag = counted("train", train)
     n_docs, avgdl = bg.corpus_stats(bag)
     vocab = fit_vocabulary(
         bag, n_docs, min_df=spec.min_df, max_df=spec.max_df, max_terms=spec.max_terms,
@@ -162,7 +171,7 @@ def build(
     )
     weight = weighting(spec, avgdl)
     fit = vx.weigh(bag, vocab, weight)
-    asked = None if queries is None else vx.weigh(bag_of(spec, queries, lemmas), vocab, weight)
+    asked = None if queries is None else vx.weigh(counted("queries", queries), vocab, weight)
     if select and spec.chi2 > 0:
         others = [] if asked is None else [asked]
         chosen = selection.select_features(fit, vocab, spec.chi2, *others)
