@@ -164,16 +164,16 @@ def fingerprints(docs: DataFrame, words: int = WORDS, fraction: float = FRACTION
     The edited text has its second half replaced by the beginning of the next
     document.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "hashes", sketch(F.col("text"), words, fraction)
-    )
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
-    paired = with_next(rows, ["text", "hashes"]).withColumn(
+    # Only texts are shuffled: hashing them again costs less than moving sketches, which do not compress.
+    paired = with_next(rows, ["text"]).withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half))
     )
     edited = paired.select(
-        "doc_id", n.cast("long").alias("n_chars"), "hashes", F.col("next.hashes").alias("next_hashes"),
+        "doc_id", n.cast("long").alias("n_chars"), sketch(F.col("text"), words, fraction).alias("hashes"),
+        sketch(F.col("next.text"), words, fraction).alias("next_hashes"),
         F.sha2("edited", 256).alias("edited_sha256"), sketch(F.col("edited"), words, fraction).alias("edited_hashes"),
     )
     return edited.select(
