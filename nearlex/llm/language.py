@@ -7,7 +7,7 @@ its words; the reported score is the posterior of the best language.
 
 Word and n-gram counts are Spark aggregates.  The model is a classifier and is
 fitted on a bounded sample: at most about ``SAMPLE_ROWS`` labelled rows of each
-language, chosen by a hash of the id, and the ``MODEL_WORDS`` and
+of the ``LANGUAGES`` most frequent languages, chosen by a hash of the id, and the ``MODEL_WORDS`` and
 ``MODEL_GRAMS`` most frequent entries, so its size does not grow with the
 corpus.  Every text is scored whole.
 
@@ -34,6 +34,7 @@ from nearlex.session import stage
 
 #: Bounds of the fitted model.
 SAMPLE_ROWS = 4_000
+LANGUAGES = 200
 MODEL_WORDS = 120_000
 MODEL_GRAMS = 120_000
 LONGEST = 5
@@ -126,7 +127,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     usable = docs.select("doc_id", "lang", "text").filter(
         F.col("lang").isNotNull() & (remainder(F.col("doc_id"), 4) != 2)
     )
-    per = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()}
+    per = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not per:
         return Model([], Table({}, np.zeros((0, 0))), Table({}, np.zeros((0, 0))), np.zeros(0))
     languages = sorted(per)
