@@ -46,7 +46,7 @@ MARKS = frozenset(
     " consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup menu nav navbar"
     " navigation breadcrumb breadcrumbs sidebar widget widgets related recommended share sharing social comment"
     " comments disqus respond replies footer header masthead toolbar pagination pager login contentinfo"
-    " complementary search".split()
+    " complementary search adbox adslot adbanner adsense topnav subnav sidenav sitenav topbar cookiebar commentlist".split()
 )
 #: Words that speak for a container.
 PRAISE = frozenset("article content main post entry story body text".split())
