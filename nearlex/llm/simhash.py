@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearlex.llm.base import arrow_step, bound_batches, replaced
@@ -59,8 +59,8 @@ def fingerprint(text: str, words: int = 4) -> int:
     return int(np.packbits(2 * total > len(hashes)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """(doc_id, fp) of every row."""
+def fingerprints(docs: DataFrame, words: int = 4, *others: str) -> DataFrame:
+    """(doc_id, fp) of every row, with the bigint columns ``others`` between them."""
     bound_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -68,7 +68,8 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
         made = [fingerprint(t or "", words) for t in batch.column("text").to_pylist()]
         return replaced(batch, "text", fp=pa.array(made, pa.int64()))
 
-    return arrow_step(docs.select("doc_id", "text"), f"doc_id {kind}, fp bigint", step)
+    schema = ", ".join([f"doc_id {kind}", *[f"{name} bigint" for name in others], "fp bigint"])
+    return arrow_step(docs.select("doc_id", *others, "text"), schema, step)
 
 
 class Tree:
@@ -177,14 +178,19 @@ def links(fps: DataFrame, radius: int = 4, shard_rows: int = SHARD_ROWS) -> Data
     return shards.repartition("shard").sortWithinPartitions("shard", "fp").mapInArrow(run, "u bigint, v bigint")
 
 
+def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
+    """``nodes``, one row a fingerprint, with the smallest fingerprint of its component as root."""
+    groups = stage(components(links(nodes.select("fp"), radius)), "groups")
+    return nodes.join(groups, nodes["fp"] == groups["node"], "left").select(
+        *[nodes[c] for c in nodes.columns], F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fp and component_id (the smallest id reachable) of every row of ``docs``."""
     seen = stage(fingerprints(docs, words), "fingerprints")
     nodes = stage(seen.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    groups = stage(components(links(nodes.select("fp"), radius)), "groups")
-    rooted = nodes.join(groups, nodes["fp"] == groups["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(nodes, radius)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = stage(rooted.join(smallest, "root").select("fp", "component_id"), "named")
     return seen.join(named, "fp").select("doc_id", "fp", "component_id")
@@ -200,14 +206,18 @@ def query(docs: DataFrame) -> DataFrame:
 def survivors(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     """One row of ``docs``, with all its columns, of every group of near-duplicates.
 
-    The row with the smallest id stays; of several rows with that id, one.
+    The row with the smallest id stays, null after all others; of several rows with
+    that id, one.  Groups are told apart by their root fingerprint and rows by two
+    hashes of id and text, so neither null nor repeated ids join different groups.
+    Rows of one id and text are reduced before they are shuffled.
     """
-    named = near_duplicates(docs, words, radius)
-    keep = (
-        named.groupBy("component_id")
-        .agg(F.min_by("fp", F.struct("doc_id", "fp")).alias("_fp"))
-        .select(F.col("component_id").alias("_kept"), "_fp")
-    )
-    same = F.row_number().over(Window.partitionBy("_kept").orderBy(F.xxhash64("text")))
-    joined = docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_kept")))
-    return joined.withColumn("_same", same).filter("_same = 1").select(*[docs[c] for c in docs.columns])
+    # Two seeds make 128 bits; a null id is passed over by the hash.
+    keys = {"_key": F.xxhash64("doc_id", "text"), "_key2": F.xxhash64(F.lit(1), "doc_id", "text")}
+    keyed = docs.withColumns(keys)
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", *keys)
+    seen = fingerprints(keyed, words, *keys)
+    nodes = stage(seen.groupBy("fp").agg(F.min(row).alias("row")), "nodes")
+    keep = _rooted(nodes, radius).groupBy("root").agg(F.min("row").alias("row")).select(*[f"row.{k}" for k in keys])
+    order = F.xxhash64(*[docs[c] for c, kind in docs.dtypes if "map<" not in kind])
+    one = keyed.groupBy(*keys).agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))
+    return one.join(stage(keep, "keep"), list(keys), "left_semi").select("_row.*")

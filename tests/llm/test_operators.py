@@ -356,6 +356,17 @@ def test_simhash_edges(spark, edge, empty):
     assert ids == [1, 4, 6, 7, 8, None]
 
 
+def test_survivors_without_ids_and_with_repeated_ids(spark):
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(9)]
+    rows = [(None, t) for t in texts[:6]] + [(None, texts[0])] * 3  # unrelated texts, one of them four times
+    rows += [(7, texts[6]), (7, texts[7])]  # two texts under one id
+    rows += [(None, texts[8]), (8, texts[8]), (9, texts[8])]  # an id goes before null
+    kept = simhash.survivors(corpus(spark, rows))
+    want = [(None, t) for t in texts[:6]] + [(7, texts[6]), (7, texts[7]), (8, texts[8])]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, want))
+
+
 # -- quality rules -----------------------------------------------------------
 
 
