@@ -1,8 +1,9 @@
 """Main text of web pages by consensus of a host's pages.
 
 A page is cut into blocks by its block-level tags.  Blocks below boilerplate
-elements (by tag, or by a word of their class, id or role) are dropped.  Each
-page scores the containers of the remaining blocks and votes for the best one,
+tags are dropped.  A word of a class, id or role only marks an element: its blocks
+weigh less in the choice of the container, and they are dropped if the element is
+small or full of links beside the page and does not hold its article.  Each page scores the containers of the remaining blocks and votes for the best one,
 named by its generalised path: tags with classes, digits masked.  Spark adds the
 votes per host, and every page is extracted again below the first of its host's
 winning paths that it has; a page with none of them uses its own best container.
@@ -48,6 +49,12 @@ MARKS = frozenset(
     " comments disqus respond replies footer header masthead toolbar pagination pager login contentinfo"
     " complementary search adbox adslot adbanner adsense topnav subnav sidenav sitenav topbar cookiebar commentlist".split()
 )
+#: A marked element is dropped below this share of the page's text outside links: named by
+#: marks alone, or by marks among other words ("related-work", "with-sidebar").
+MARKED_SHARE = (0.5, 0.05)
+#: Weight of a marked block in the score of a container.
+MARKED_WEIGHT = 0.1
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words that speak for a container.
 PRAISE = frozenset("article content main post entry story body text".split())
 #: Winning paths kept per host.
@@ -65,12 +72,53 @@ class Block:
     text: str
     linked: int  # characters inside links
     path: tuple[str, ...]  # generalised names of the containers around it
+    marks: tuple[int, ...] = ()  # the marked elements around it
+
+    @property
+    def value(self) -> float:
+        """Characters outside links, as a score."""
+        return max(len(self.text) - 2 * self.linked, 0) * (MARKED_WEIGHT if self.marks else 1.0)
+
+
+def _marked(tag: str, names: list[tuple[str, ...]]) -> int:
+    """0 without a mark, 1 if a name is of marks alone, 2 if marks are among other words."""
+    found = 0
+    for kind, *values in names:
+        if tag in HEADINGS or (tag == "p" and kind.lower() == "id"):
+            continue
+        for name in "".join(values).lower().split():
+            words = _WORDS.findall(name)
+            hits = sum(w in MARKS for w in words)
+            if hits == len(words) and hits:
+                return 1
+            found = 2 if hits else found
+    return found
+
+
+def _without_marked(parts: list[Block], kinds: list[int], holders: frozenset[int]) -> list[Block]:
+    """The blocks outside marked elements that are small or full of links; holders of the article lose their mark."""
+    page, inside = 0, [0] * len(kinds)
+    for part in parts:
+        value = max(len(part.text) - 2 * part.linked, 0)
+        page += value
+        for m in part.marks:
+            inside[m] += value
+    drop = {
+        m for m, kind in enumerate(kinds)
+        if m not in holders and (not inside[m] or inside[m] < MARKED_SHARE[kind - 1] * page)
+    }
+    out = [p for p in parts if drop.isdisjoint(p.marks)]
+    for part in out:
+        part.marks = tuple(m for m in part.marks if m not in holders)
+    return out
 
 
 def blocks(page: str) -> list[Block]:
     """Text blocks outside boilerplate, in page order."""
     out: list[Block] = []
-    open_tags: list[tuple[str, bool, str | None]] = []  # tag, boilerplate, container name
+    open_tags: list[tuple[str, bool, str | None, int | None]] = []  # tag, boilerplate, container name, mark
+    kinds: list[int] = []
+    holders: frozenset[int] | None = None  # marks around the first article
     pieces: list[tuple[str, bool]] = []
     hidden = links = at = 0
 
@@ -80,13 +128,13 @@ def blocks(page: str) -> list[Block]:
         text = " ".join("".join(p for p, _ in pieces).split())
         if text:
             linked = sum(len(p.strip()) for p, inside in pieces if inside)
-            out.append(Block(text, linked, tuple(c for _, _, c in open_tags if c)))
+            out.append(Block(text, linked, tuple(t[2] for t in open_tags if t[2]), tuple(t[3] for t in open_tags if t[3] is not None)))
         pieces.clear()
 
     def close(depth: int) -> None:
         nonlocal hidden, links
         flush()
-        for tag, bad, _ in open_tags[depth:]:
+        for tag, bad, _, _ in open_tags[depth:]:
             hidden -= bad
             links -= tag == "a"
         del open_tags[depth:]
@@ -113,7 +161,6 @@ def blocks(page: str) -> list[Block]:
                     break
             continue
         names = _NAMES.findall(rest)
-        words = {w for n in names for w in _WORDS.findall("".join(n[1:]).lower())}
         if tag in VOID:
             if tag == "hr":
                 flush()
@@ -127,11 +174,19 @@ def blocks(page: str) -> list[Block]:
                 at = page.find(">", at) + 1 or len(page)
             continue
         if tag == "a":
-            open_tags.append((tag, False, None))
+            open_tags.append((tag, False, None, None))
             links += 1
             continue
-        bad = tag in BOILERPLATE or (bool(words & MARKS) and tag not in ("html", "body", "main", "article"))
-        if tag not in BLOCKS and not bad:
+        headline = tag == "header" and any(t[0] == "article" for t in open_tags)
+        bad = tag in BOILERPLATE and not headline
+        kind = _marked(tag, names)
+        if tag in ("main", "article") and not kind and not hidden and holders is None:
+            holders = frozenset(t[3] for t in open_tags if t[3] is not None)
+        mark = None
+        if kind and not bad and not headline and tag not in ("html", "body", "main", "article"):
+            mark = len(kinds)
+            kinds.append(kind)
+        if tag not in BLOCKS and not bad and not headline and mark is None:
             continue  # inline markup
         flush()
         ends = ENDS.get(tag, PARAGRAPH)
@@ -145,9 +200,9 @@ def blocks(page: str) -> list[Block]:
             classes = sorted({_DIGITS.sub("0", c) for n in names if n[0].lower() == "class" for c in "".join(n[1:]).split()})
             name = ".".join([tag, *classes])
         hidden += bad
-        open_tags.append((tag, bad, name))
+        open_tags.append((tag, bad, name, mark))
     flush()
-    return out
+    return _without_marked(out, kinds, holders or frozenset())
 
 
 def best_container(parts: list[Block]) -> tuple[str, ...] | None:
@@ -159,7 +214,7 @@ def best_container(parts: list[Block]) -> tuple[str, ...] | None:
     """
     weight: dict[tuple[str, ...], float] = {}
     for part in parts:
-        value = max(len(part.text) - 2 * part.linked, 0)
+        value = part.value
         for depth in range(1, len(part.path) + 1):
             path = part.path[:depth]
             weight[path] = weight.get(path, 0.0) + value

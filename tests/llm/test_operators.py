@@ -292,6 +292,28 @@ def test_page_path_of_the_host_wins(spark):
     assert got[9] == "short"
 
 
+def own_text(page):
+    parts = pagetext.blocks(page)
+    return pagetext.rendered(parts, pagetext.best_container(parts))
+
+
+@pytest.mark.parametrize("name", ["layout with-sidebar", "content-sidebar-wrap", "no-sidebar", "col-with-nav", "sidebar"])
+def test_marked_wrapper_keeps_the_article(name):
+    prose = "words of the article " * 20
+    for inner in ("<article><p>{}</p></article>", "<div><p>{}</p></div>"):
+        page = f"<body><div class='{name}'>{inner.format(prose)}<div class=sidebar>side</div></div></body>"
+        assert own_text(page) == prose.strip()
+
+
+def test_marks_spare_headings_sections_and_headlines():
+    page = (
+        "<body><article><header class=entry-header><h1>Head</h1></header><h2 id=related-work>Related</h2>"
+        "<p id=search>One</p><h2 class=section-header>Two</h2><section id=social-impact><p>Three of these</p></section>"
+        "<div class=related-posts><a href=x>other page</a></div><div class=ad>buy</div></article></body>"
+    )
+    assert own_text(page) == "Head\n\nRelated\n\nOne\n\nTwo\n\nThree of these"
+
+
 # -- SimHash -----------------------------------------------------------------
 
 
