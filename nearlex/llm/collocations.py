@@ -47,10 +47,10 @@ DENSE_SHARE = 1 / 16
 #: Phrases of a level whose ids are sent to the tasks.
 TABLE_ENTRIES = 1 << 20
 #: Words or pairs a task holds before it emits their counts.
-HELD_WORDS = 400_000
-HELD_PAIRS = 4_000_000
+HELD_WORDS = 200_000
+HELD_PAIRS = 2_000_000
 #: Bytes of text whose words are looked up together.
-ABREAST_BYTES = 2 * 1024 * 1024
+ABREAST_BYTES = 1024 * 1024
 #: Decimals that hold every product.
 WIDE = "decimal(38,0)"
 
@@ -75,33 +75,33 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n, hash) of all words; the row with a null word counts all words of the language."""
 
     def count(batches):
-        held: dict[tuple[str, bytes | None], int] = {}
+        held: dict[str, dict[bytes | None, int]] = {}
 
-        def emitted() -> pa.RecordBatch:
+        def emitted(lang: str) -> pa.RecordBatch:
+            words = held.pop(lang)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([g for g, _ in held], pa.string()),
-                    pa.array([w for _, w in held], pa.binary()),
-                    pa.array(list(held.values()), pa.int64()),
-                    pa.array([None if w is None else word_key(g, w) for g, w in held], pa.int64()),
+                    pa.array([lang] * len(words), pa.string()),
+                    pa.array(words.keys(), pa.binary()),
+                    pa.array(words.values(), pa.int64()),
+                    pa.array((None if w is None else word_key(lang, w) for w in words), pa.int64()),
                 ],
                 names=["lang", "word", "n", "hash"],
             )
 
         for batch in batches:
             for lang, words in _by_language(batch):
+                own = held.setdefault(lang, {None: 0})
                 coded = pa.array(words, pa.binary()).dictionary_encode()
                 n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
-                total = 0
                 for word, times in zip(coded.dictionary.to_pylist(), n.tolist()):
                     if word != b".":
-                        held[lang, word] = held.get((lang, word), 0) + times
-                        total += times
-                held[lang, None] = held.get((lang, None), 0) + total
-            if len(held) > HELD_WORDS:
-                yield emitted()
-                held.clear()
-        yield emitted()
+                        own[word] = own.get(word, 0) + times
+                        own[None] += times
+                if len(own) > HELD_WORDS:
+                    yield emitted(lang)
+        for lang in list(held):
+            yield emitted(lang)
 
     made = docs.select(_language(docs), "text").mapInArrow(
         count, "lang string, word binary, n bigint, hash bigint"
@@ -364,7 +364,8 @@ WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                       '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents),
 words AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS ws FROM pieces),
 totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM words GROUP BY lang),
