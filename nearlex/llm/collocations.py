@@ -47,8 +47,8 @@ DENSE_SHARE = 1 / 16
 #: Phrases of a level whose ids are sent to the tasks.
 TABLE_ENTRIES = 1 << 20
 #: Words or pairs a task holds before it emits their counts.
-HELD_WORDS = 200_000
-HELD_PAIRS = 2_000_000
+HELD_WORDS = 150_000
+HELD_PAIRS = 1_000_000
 #: Bytes of text whose words are looked up together.
 ABREAST_BYTES = 1024 * 1024
 #: Decimals that hold every product.
