@@ -75,10 +75,9 @@ def x5_project(spark, sf):
     fitted = components(spark, sf)
     dense = lsi.project(train.drop("label"), fitted).select(F.lit("train").alias("side"), "*")
     other = lsi.project(asked, fitted).select(F.lit("query").alias("side"), "*")
-    square = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x)
     return dense.unionByName(other).select(
-        "side", "doc_id", F.size("vec").alias("n_components"), r6("norm", F.sqrt(square))
-    )
+        "side", "doc_id", F.posexplode("vec").alias("component", "value")
+    ).withColumn("value", F.round("value", 6))
 
 
 @query()

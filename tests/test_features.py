@@ -92,21 +92,85 @@ def _random_vectors(spark, rows, terms, seed):
     return dense, spark.createDataFrame(data, "doc_id bigint, vec array<struct<term_id:int,w:double>>").repartition(3)
 
 
-def test_svd_against_numpy(spark):
-    dense, vectors = _random_vectors(spark, 60, 25, 5)
-    fitted = lsi.fit_components(vectors, 4, n_iter=20)
+def _matrix(fitted, terms):
+    """The components as terms by components."""
+    out = np.zeros((terms, fitted.rank))
+    for r in fitted.entries().collect():
+        out[r["term_id"], r["component"]] = r["value"]
+    return out
+
+
+def test_svd_against_numpy(spark, monkeypatch):
+    # Several blocks of rows and terms, and two levels of sums.
+    monkeypatch.setattr(lsi, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(lsi, "FAN_IN", 3)
+    monkeypatch.setattr(lsi, "BASIS_BYTES", 1)
+    dense, vectors = _random_vectors(spark, 60, 45, 5)
+    fitted = lsi.fit_components(vectors, 4, n_iter=8)
+    matrix = _matrix(fitted, 45)
     exact = np.linalg.svd(dense, compute_uv=False)[:4]
+    assert fitted.terms == 16 and fitted.basis.count() == 3
     assert np.allclose(fitted.singular_values, exact, atol=1e-4)
-    assert np.allclose(fitted.matrix.T @ fitted.matrix, np.eye(4), atol=1e-8)
+    assert np.allclose(matrix.T @ matrix, np.eye(4), atol=1e-12)
+    residual = np.linalg.norm(dense.T @ (dense @ matrix) - matrix * fitted.singular_values**2, axis=0)
+    assert (residual / fitted.singular_values**2 < 0.05).all()
+    assert (matrix[np.abs(matrix).argmax(0), range(4)] > 0).all()
     raw = lsi.project(vectors, fitted, normalise=False)
     got = np.array([r["vec"] for r in raw.orderBy("doc_id").collect()])
-    assert np.allclose(got, dense @ fitted.matrix)
+    assert np.allclose(got, dense @ matrix)
     share = lsi.explained_variance(vectors, raw).first()[0]
-    assert share == pytest.approx((dense @ fitted.matrix).var(axis=0).sum() / dense.var(axis=0).sum())
+    assert share == pytest.approx((dense @ matrix).var(axis=0).sum() / dense.var(axis=0).sum())
     unit = lsi.project(vectors, fitted).filter("doc_id = 0").first()["vec"]
     assert unit == [0.0] * 4
 
 
+def test_no_block_of_the_basis_reaches_the_driver(spark, monkeypatch):
+    """Only columns-by-columns sums and one sign a component are collected, whatever the vocabulary."""
+    rng = np.random.default_rng(9)
+    data = [(i, [(int(t), 1.0) for t in np.unique(rng.integers(0, 2_000_000, 30))]) for i in range(40)]
+    vectors = spark.createDataFrame(data, "doc_id bigint, vec array<struct<term_id:int,w:double>>")
+    sizes, frame = [], type(vectors)
+    to_arrow = frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda df: sizes.append((got := to_arrow(df)).nbytes) or got)
+    fitted = lsi.fit_components(vectors, 3, n_iter=2)
+    assert fitted.rank == 3 and sizes and max(sizes) < 8 * lsi.GROUPS * (13 * 13 + 8)
+    plan = fitted.basis._jdf.queryExecution().toString()
+    assert "Broadcast" not in plan
+
+
+def test_projection_is_the_sql_over_the_components(spark):
+    """Projected values, unit rows and the explained share against DuckDB, given the components."""
+    duckdb = pytest.importorskip("duckdb")
+    _, vectors = _random_vectors(spark, 50, 30, 3)
+    fitted = lsi.fit_components(vectors, 5, n_iter=3)
+    con = duckdb.connect()
+    con.register("v", fitted.entries().toPandas())
+    con.register("x", vx.entries(vectors).toPandas())
+    con.register("docs", vectors.select("doc_id").toPandas())
+    con.execute(
+        "CREATE TABLE y AS SELECT doc_id, component, coalesce(s, 0) AS s"
+        " FROM (SELECT doc_id, unnest(range(5))::INT AS component FROM docs)"
+        " LEFT JOIN (SELECT doc_id, component, sum(w * value) AS s FROM x JOIN v USING (term_id) GROUP BY ALL) USING (doc_id, component)"
+    )
+    want = con.execute(
+        "SELECT doc_id, component, round(s / coalesce(nullif(sqrt(sum(s * s) OVER (PARTITION BY doc_id)), 0), 1), 9) FROM y"
+    ).fetchall()
+    unit = lsi.project(vectors, fitted).select("doc_id", F.posexplode("vec").alias("c", "s"))
+    assert sorted(map(tuple, unit.select("doc_id", "c", F.round("s", 9)).collect())) == sorted(want)
+    share = con.execute(
+        "SELECT (SELECT sum(p) FROM (SELECT var_pop(s) AS p FROM y GROUP BY component)) / sum(a - b * b) FROM"
+        " (SELECT sum(w * w) / 50 AS a, sum(w) / 50 AS b FROM x GROUP BY term_id)"
+    ).fetchone()[0]
+    assert lsi.explained_variance(vectors, lsi.project(vectors, fitted, False)).first()[0] == pytest.approx(share)
+
+
+def test_equal_and_missing_ids_are_projected_apart(spark):
+    rows = [(None, [(0, 1.0)]), (None, [(1, 1.0)]), (7, [(0, 1.0), (2, 1.0)]), (7, [(1, 2.0)]), (8, []), (9, [(99, 1.0)])]
+    vectors = spark.createDataFrame(rows, "doc_id bigint, vec array<struct<term_id:int,w:double>>")
+    fitted = lsi.fit_components(vectors.filter("doc_id is null or doc_id < 9"), 2)
+    assert sorted(str(r["doc_id"]) for r in lsi.project(vectors, fitted).collect()) == sorted(["None", "None", "7", "7", "8", "9"])
+
+
 def test_component_count_is_cut_to_the_data(spark):
     _, vectors = _random_vectors(spark, 4, 6, 1)
     assert lsi.fit_components(vectors, 50).rank == 3
