@@ -12,11 +12,9 @@ from pyspark.sql import functions as F
 
 from nearlex.functions import porter, text as tx
 from nearlex.functions.stopwords import ENGLISH
+from nearlex.operators.rowjoin import matched
 from nearlex.session import BROADCAST_LIMIT_BYTES, bound_batches, collected_if_small, spread, stage
 
-#: Parts over which the rows of one token are dealt when a large table is joined.
-TOKEN_PARTS = 16
-
 Analyzer = Callable[[Column], Column]
 
 
@@ -67,37 +65,25 @@ def normalised_by_table(
 ) -> DataFrame:
     """Replace each token by its form in ``table``; a missing token stays itself.
 
-    A table under ``limit`` bytes is looked up inside the row, by batches of
-    dictionary-encoded tokens; a larger one is shuffle-joined, with the rows of
-    a token dealt over a few parts, and token order is restored from the stored
-    positions.
+    Of several forms of a token the smallest counts.  A table under ``limit``
+    bytes is looked up inside the row, by batches of dictionary-encoded tokens; a
+    larger one is shuffle-joined, with the rows of a frequent token dealt over
+    parts, and gives the same rows.
     """
     keep = [c for c in tokens.columns if c != "tokens"]
     forms = stage(
-        table.select(F.col(token_col).alias("_tok"), F.col(form_col).alias("_form")).filter(
-            F.col("_tok").isNotNull() & F.col("_form").isNotNull()
-        ),
+        table.select(F.col(token_col).alias("_tok"), F.col(form_col).alias("_form"))
+        .filter(F.col("_tok").isNotNull() & F.col("_form").isNotNull())
+        .groupBy("_tok").agg(F.min("_form").alias("_form")),
         "forms",
     )
     known = collected_if_small(forms, "_tok", "_form", limit=limit)
     if known is not None:
         return _replaced_in_row(tokens, known, keep)
-    part = F.pmod(F.xxhash64(keep[0]), F.lit(TOKEN_PARTS)).cast("int")
-    placed = tokens.select(*keep, part.alias("_part"), F.posexplode_outer("tokens").alias("_pos", "_tok"))
-    spread_forms = forms.select("*", F.explode(F.sequence(F.lit(0), F.lit(TOKEN_PARTS - 1))).alias("_part"))
-    matched = placed.join(spread_forms, ["_tok", "_part"], "left")
-    entry = F.when(
-        F.col("_tok").isNotNull(),
-        F.struct("_pos", F.coalesce("_form", "_tok").alias("_word")),
-    )
-    return (
-        matched.groupBy(keep[0])
-        .agg(
-            *[F.first(c).alias(c) for c in keep[1:]],
-            F.array_sort(F.collect_list(entry)).alias("_entries"),
-        )
-        .select(*keep, F.transform("_entries", lambda e: e["_word"]).alias("tokens"))
-    )
+    # Tokens are written first: a join reads them twice.
+    hits = matched(stage(tokens.select(*keep, "tokens"), "tokens"), "tokens", lambda t: t, forms, "_tok")
+    words = F.transform("hits", lambda h: F.coalesce(h["_hit"]["_form"], h["_item"]))
+    return hits.select(*keep, words.alias("tokens"))
 
 
 def _replaced_in_row(tokens: DataFrame, known: pa.Table, keep: list[str]) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearlex.operators.ranking import ranked
-from nearlex.operators.vectors import entries, regroup
+from nearlex.operators.rowjoin import matched, only_hits
+from nearlex.operators.vectors import entries
 from nearlex.functions.expressions import unit_vector
-from nearlex.session import broadcast_if_small, collected_if_small, stage
+from nearlex.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, collected_if_small, stage
 
 
 def chi2_scores(train: DataFrame, label_col: str = "label") -> DataFrame:
@@ -66,18 +67,17 @@ def _kept_in_row(vectors: DataFrame, known: pa.Table, keep: list[str]) -> DataFr
     return kept.select(*keep, unit_vector(F.col("vec")).alias("vec"))
 
 
-def keep_terms(vectors: DataFrame, selected: DataFrame, name: str = "selected-vectors") -> DataFrame:
-    """Keep the selected terms and renormalise every row."""
+def keep_terms(
+    vectors: DataFrame, selected: DataFrame, name: str = "selected-vectors", limit: int = BROADCAST_LIMIT_BYTES
+) -> DataFrame:
+    """Keep the selected terms and renormalise every row; null and repeated ids are rows of their own."""
     keep = [c for c in vectors.columns if c != "vec"]
-    known = collected_if_small(selected, "term_id")
+    known = collected_if_small(selected, "term_id", limit=limit)
     if known is not None:
         return stage(_kept_in_row(vectors, known, keep), name)
-    rows = vectors.select(*keep, F.explode_outer("vec").alias("e")).select(
-        *keep, F.col("e.term_id").alias("_id"), F.col("e.w").alias("w")
-    )
-    chosen = broadcast_if_small(selected, "term_id")
-    kept = rows.join(chosen, F.col("_id") == F.col("term_id"), "left").drop("_id")
-    return stage(regroup(kept, keep), name)
+    hits = matched(vectors.select(*keep, "vec"), "vec", lambda e: e["term_id"], selected.select("term_id"), "term_id")
+    kept = F.transform(only_hits(), lambda h: h["_item"])
+    return stage(hits.select(*keep, kept.alias("vec")).select(*keep, unit_vector(F.col("vec")).alias("vec")), name)
 
 
 def select_features(

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearlex.functions import expressions as ex
-from nearlex.session import broadcast_if_small, collected_if_small, stage
+from nearlex.operators.rowjoin import matched, only_hits
+from nearlex.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, collected_if_small, stage
 
 Weight = Callable[[Column, Column, Column], Column]
 
@@ -46,23 +47,20 @@ def regroup(entries: DataFrame, keep: list[str], by: Sequence[str] = ()) -> Data
     return grouped.select(*by, *keep, ex.unit_vector(F.col("vec")).alias("vec"))
 
 
-#: Parts over which the documents of a term are dealt when the vocabulary is joined.
-TERM_PARTS = 16
-
+def joined_up(bag: DataFrame, vocab: DataFrame, keep: list[str]) -> DataFrame:
+    """``looked_up`` for a vocabulary too large for a task: the same rows through a join."""
+    hits = matched(bag.select(*keep, "dl", "terms"), "terms", lambda e: e["term"], vocab.select("term", "term_id", "idf"), "term")
+    found = F.transform(
+        only_hits(),
+        lambda h: F.struct(h["_hit"]["term_id"].cast("int").alias("term_id"), h["_item"]["tf"].alias("tf"), h["_hit"]["idf"].alias("idf")),
+    )
+    return hits.select(*keep, "dl", found.alias("found"))
 
-def _known_terms(bag: DataFrame, vocab: DataFrame, keep: list[str]) -> DataFrame:
-    """Exploded counts beside ``term_id, idf``, null where the vocabulary has no entry.
 
-    For a vocabulary too large for a task: every term is repeated over a few
-    parts and the documents are dealt over them, so a frequent term is not hot.
-    """
-    part = F.pmod(F.xxhash64(keep[0]), F.lit(TERM_PARTS)).cast("int")
-    rows = bag.select(*keep, "dl", part.alias("_part"), F.explode_outer("terms").alias("t")).select(
-        *keep, "dl", "_part", F.col("t.term").alias("term"), F.col("t.tf").alias("tf")
-    )
-    parts = F.explode(F.sequence(F.lit(0), F.lit(TERM_PARTS - 1))).alias("_part")
-    known = vocab.select("term", "term_id", "idf", parts)
-    return rows.join(known, ["term", "_part"], "left").drop("_part")
+def known_terms(bag: DataFrame, vocab: DataFrame, keep: list[str], limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """``keep, dl, found`` inside the row up to ``limit`` bytes of vocabulary, else by a join; the same rows."""
+    known = collected_if_small(vocab, "term", "term_id", "idf", limit=limit)
+    return joined_up(bag, vocab, keep) if known is None else looked_up(bag, known, keep)
 
 
 def looked_up(bag: DataFrame, known: pa.Table, keep: list[str]) -> DataFrame:
@@ -108,44 +106,29 @@ def _weighed_in_row(found: DataFrame, keep: list[str], weight: Weight) -> Column
     return ex.unit_vector(F.array_sort(vec)).alias("vec")
 
 
-def weigh(bag: DataFrame, vocab: DataFrame, weight: Weight, name: str = "vectors") -> DataFrame:
+def weigh(
+    bag: DataFrame, vocab: DataFrame, weight: Weight, name: str = "vectors", limit: int = BROADCAST_LIMIT_BYTES
+) -> DataFrame:
     """Stage L2-normalised vectors of ``bag`` under the fitted ``vocab``.
 
     Terms outside the vocabulary are dropped; documents without a known term
-    keep an empty vector.
+    keep an empty vector.  Null and repeated ids are rows of their own.
     """
     keep = [c for c in bag.columns if c not in ("dl", "terms")]
-    known = collected_if_small(vocab, "term", "term_id", "idf")
-    if known is not None:
-        found = looked_up(bag, known, keep)
-        return stage(found.select(*keep, _weighed_in_row(found, keep, weight)), name)
-    weighted = _known_terms(bag, vocab, keep).select(
-        *keep, "term_id", weight(F.col("tf"), F.col("dl"), F.col("idf")).alias("w")
-    )
-    return stage(regroup(weighted, keep), name)
+    found = known_terms(bag, vocab, keep, limit)
+    return stage(found.select(*keep, _weighed_in_row(found, keep, weight)), name)
 
 
-def weigh_variants(bag: DataFrame, vocab: DataFrame, variants: Mapping[str, Weight]) -> DataFrame:
+def weigh_variants(
+    bag: DataFrame, vocab: DataFrame, variants: Mapping[str, Weight], limit: int = BROADCAST_LIMIT_BYTES
+) -> DataFrame:
     """``weigh`` under several formulas in one job; the ``rep`` column names the formula."""
     keep = [c for c in bag.columns if c not in ("dl", "terms")]
-    known = collected_if_small(vocab, "term", "term_id", "idf")
-    if known is not None:
-        found = looked_up(bag, known, keep)
-        variants_in_row = F.array(
-            *[F.struct(F.lit(n).alias("rep"), _weighed_in_row(found, keep, w)) for n, w in variants.items()]
-        )
-        return stage(found.select(*keep, F.inline(variants_in_row)).select("rep", *keep, "vec"), "variants")
-    each = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("rep"),
-                weight(F.col("tf"), F.col("dl"), F.col("idf")).alias("w"),
-            )
-            for name, weight in variants.items()
-        ]
+    found = known_terms(bag, vocab, keep, limit)
+    variants_in_row = F.array(
+        *[F.struct(F.lit(n).alias("rep"), _weighed_in_row(found, keep, w)) for n, w in variants.items()]
     )
-    weighted = _known_terms(bag, vocab, keep).select(*keep, "term_id", F.inline(each))
-    return stage(regroup(weighted, keep, ["rep"]), "variants")
+    return stage(found.select(*keep, F.inline(variants_in_row)).select("rep", *keep, "vec"), "variants")
 
 
 def entries(vectors: DataFrame) -> DataFrame:

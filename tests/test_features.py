@@ -187,12 +187,60 @@ def test_weighting_and_selection_stay_in_the_row(micro):
     assert "Exchange" not in plan
     kept = selection._kept_in_row(micro.train, micro.vocab.limit(3).select("term_id").toArrow(), ["doc_id", "label"])
     assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
-    joined = vx._known_terms(micro.bag, micro.vocab, ["doc_id", "label"]).select(
-        "doc_id", "label", "term_id", vx.bm25_weight(2.8)(F.col("tf"), F.col("dl"), F.col("idf")).alias("w")
-    )
-    by_join = {r["doc_id"]: [(e["term_id"], round(e["w"], 9)) for e in r["vec"]] for r in vx.regroup(joined, ["doc_id", "label"]).collect()}
-    in_row = {r["doc_id"]: [(e["term_id"], round(e["w"], 9)) for e in r["vec"]] for r in micro.train.collect()}
-    assert by_join == in_row
+
+
+ODD_IDS = [
+    (None, 1, "oil price rise rise"), (None, 1, "game team"), (7, 2, "oil oil market"), (7, 2, "bank"), (7, 2, "oil oil market"),
+    (8, 3, ""), (9, 3, "zebra"), (None, None, ""), (10, 4, "oil " * 40),
+]
+
+
+@pytest.fixture(scope="module")
+def odd_bag(spark):
+    from nearlex.functions.text import split_words
+
+    docs = spark.createDataFrame(ODD_IDS, "doc_id bigint, label int, text string")
+    return bg.tokenised(docs, split_words), bg.bags(bg.tokenised(docs, split_words))
+
+
+def _rows(frame):
+    """All rows as text, weights rounded: comparable with null and repeated ids."""
+    def plain(value):
+        if isinstance(value, list):
+            return [plain(v) for v in value]
+        if isinstance(value, tuple):
+            return tuple(plain(v) for v in value)
+        return round(value, 9) if isinstance(value, float) else value
+
+    return sorted(repr(plain(tuple(r[c] for c in sorted(frame.columns)))) for r in frame.collect())
+
+
+def test_size_of_a_table_changes_no_row(spark, micro, odd_bag, monkeypatch):
+    """Lookups inside the row and joins give the same rows, with null and repeated ids and heavy terms."""
+    from nearlex.operators import rowjoin
+
+    monkeypatch.setattr(rowjoin, "KEY_ROWS", 2)
+    tokens, bag = odd_bag
+    weight = vx.bm25_weight(2.8)
+    inside, joined = (vx.weigh(bag, micro.vocab, weight, limit=limit) for limit in (1 << 20, 0))
+    assert inside.count() == len(ODD_IDS) and _rows(inside) == _rows(joined)
+    assert inside.schema["vec"].dataType.simpleString() == joined.schema["vec"].dataType.simpleString()
+    variants = {"a": weight, "b": vx.sublinear_weight()}
+    assert _rows(vx.weigh_variants(bag, micro.vocab, variants)) == _rows(vx.weigh_variants(bag, micro.vocab, variants, limit=0))
+    chosen = micro.vocab.orderBy("term_id").limit(4)
+    kept = [selection.keep_terms(inside, chosen, limit=limit) for limit in (1 << 20, 0)]
+    assert kept[0].count() == len(ODD_IDS) and _rows(kept[0]) == _rows(kept[1])
+    forms = spark.createDataFrame([("oil", "petrol"), ("oil", "oel"), ("game", "play"), (None, "x")], "token string, lemma string")
+    spelled = [bg.normalised_by_table(tokens, forms, limit=limit) for limit in (1 << 20, 0)]
+    assert spelled[0].count() == len(ODD_IDS) and _rows(spelled[0]) == _rows(spelled[1])
+    assert any("oel" in r for r in _rows(spelled[1])) and not any("petrol" in r for r in _rows(spelled[1]))
+
+
+def test_heavy_keys_are_few_and_dealt(spark):
+    from nearlex.operators.rowjoin import heavy_keys
+
+    keys = spark.range(1000).select(F.when(F.col("id") < 400, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("_key"))
+    assert [tuple(r) for r in heavy_keys(keys, 100).collect()] == [("hot", 4)]
 
 
 def test_first_rows_without_sorting_them(spark):
