@@ -9,8 +9,8 @@ Three plans:
             documents per query.  No pair is emitted, no key can be hot, and a
             task's memory is set by the block sizes.
 
-``pruned``  as ``blocks``, but documents are blocked by content and a query
-            travels only to blocks whose bound reaches its k-th similarity so far.
+``pruned``  as ``blocks``, but documents are blocked by norm and content and a query
+            travels only to blocks whose bound reaches its k-th value so far.
 
 ``auto`` counts the posting pairs first and picks one; all give the same rows.
 """
@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nearlex.operators.ranking import ranked
 from nearlex.operators.vectors import entries
 from nearlex.session import broadcast_if_small, parallelism, stage
 
@@ -203,17 +202,23 @@ def joined(
     distance = F.round(
         F.greatest(F.col("_qs") + F.col("_ts") - 2.0 * F.col("dot"), F.lit(0.0)), DIGITS
     )
-    near = stage(
-        top_k(
-            pairs.join(q_sq, "query_id").join(t_sq, "train_id").select(
-                "query_id", "train_id", *extra, distance.alias("dist2")
-            ),
-            k, "dist2",
-        ).drop("rank"),
-        "near",
+    near = top_k(
+        pairs.join(q_sq, "query_id").join(t_sq, "train_id").select(
+            "query_id", "train_id", *extra, distance.alias("dist2")
+        ),
+        k, "dist2",
     )
-    # Documents sharing no term: only the k of smallest norm can ever be chosen.
-    # Norms are ordered rounded, as the distances are.
+    return with_apart(near, q_sq, normed, k)
+
+
+def with_apart(near: DataFrame, q_sq: DataFrame, normed: DataFrame, k: int) -> DataFrame:
+    """Squared distances to documents sharing no term beside those already found; the best ``k`` of both.
+
+    Of such documents only the k of smallest norm can ever be chosen.  Norms are
+    ordered rounded, as the distances are.
+    """
+    extra = _extra(normed)
+    near = stage(near.select("query_id", "train_id", *extra, "dist2"), "near")
     pool = _pool(normed.withColumn("_tr", F.round("_ts", DIGITS)), k, "_tr", "doc_id", "_ts")
     have = near.groupBy("query_id").agg(F.collect_list("train_id").alias("_have"))
     apart = (
@@ -320,66 +325,123 @@ def _multiplied(
     return found.withColumn(value, F.round("_value", DIGITS) + F.lit(0.0)).drop("_value")
 
 
-def content_blocks(train: DataFrame, rows: int) -> DataFrame:
-    """``train`` with ``_j``: documents with the same leading term are in the same block or in neighbours.
+def content_blocks(train: DataFrame, rows: int, entries_held: int | None = None) -> DataFrame:
+    """``train`` with ``_j``: documents of like norm and the same leading term are in the same block or in neighbours.
 
-    Only ids and leading terms are sorted; blocks hold ``rows`` documents each.
+    The table is dealt once, by range, so ids may be missing or repeated.  Blocks
+    that still hold more than twice ``rows`` documents, or more entries than a
+    task takes, are split.
     """
+    most = TRAIN_BLOCK_ENTRIES if entries_held is None else entries_held
     leading = F.array_max(F.transform("vec", lambda e: F.struct(e["w"].alias("w"), e["term_id"].alias("term_id"))))
-    placed = ranked(
-        train.select("doc_id", F.coalesce(leading["term_id"], F.lit(-1)).alias("_lead")),
-        [F.col("_lead"), F.col("doc_id")], "_rank",
-    ).select("doc_id", F.floor(F.col("_rank") / F.lit(rows)).cast("long").alias("_j"))
-    return train.join(placed, "doc_id")
-
-
-def pruned(queries: DataFrame, train: DataFrame, k: int, fill: bool = True, rows: int | None = None) -> DataFrame:
-    """Cosine neighbours through the blocks that can hold them; the same rows as ``blocked``.
+    n, held = train.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("vec")), F.lit(0))).first()
+    blocks = max(1, math.ceil(n / rows), math.ceil(held / most))
+    band = F.floor(F.log2(squared_norms(train) + F.lit(1e-12)))
+    order = {"_band": band, "_lead": F.coalesce(leading["term_id"], F.lit(-1))}
+    placed = train.withColumns(order).repartitionByRange(blocks, "_band", "_lead", "doc_id")
+    placed = stage(placed.withColumn("_j", F.spark_partition_id().cast("long")).drop(*order), "content-blocks")
+    full = placed.groupBy("_j").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / (2 * rows)), F.ceil(F.sum(F.size("vec")) / most)).cast("long").alias("_parts")
+    ).filter("_parts > 1")
+    full = stage(full, "full-blocks")
+    widest = full.agg(F.max("_parts")).first()[0]
+    if widest is None:
+        return placed
+    part = F.pmod(F.xxhash64("doc_id", "vec"), F.coalesce("_parts", F.lit(1).cast("long")))
+    split = placed.join(broadcast_if_small(full), "_j", "left")
+    return stage(split.withColumn("_j", F.col("_j") * F.lit(widest) + part).drop("_parts"), "content-blocks")
+
+
+def non_negative(*tables: DataFrame) -> bool:
+    """Whether no weight is below zero, as the bounds of the pruned plan need."""
+    least = F.min(F.array_min(F.transform("vec", lambda e: e["w"])))
+    return all((table.agg(least).first()[0] or 0.0) >= 0.0 for table in tables)
+
+
+def query_parts(cells: DataFrame, rows: int) -> DataFrame:
+    """``cells`` (query_id, _j) with ``_i``: the queries of a block in parts of about ``rows``."""
+    counted = cells.groupBy("_j").agg(F.ceil(F.count(F.lit(1)) / rows).cast("long").alias("_parts"))
+    parts = broadcast_if_small(stage(counted, "query-parts"))
+    return cells.join(parts, "_j").select("query_id", "_j", F.pmod(F.xxhash64("query_id"), F.col("_parts")).alias("_i"))
+
+
+def pruned(
+    queries: DataFrame, train: DataFrame, k: int, fill: bool = True, rows: int | None = None, metric: str = "cosine"
+) -> DataFrame:
+    """Neighbours through the blocks that can hold them; the same rows as ``blocked``.
 
     Weights are not negative, so a query's product with the largest weight of
-    each term in a block bounds its similarity to every document there.  The
-    block of the largest bound is searched first; its k-th similarity is a
-    threshold, and a query travels only to the blocks whose bound reaches it.
+    each term in a block bounds its similarity to every document there.  For
+    distances the bound is the larger of |q|^2 + min |t|^2 - 2 product and the
+    square of the gap between |q| and the block's norms.  The block of the best
+    bound is searched first; its k-th value is a threshold, and a query travels
+    only to the blocks whose bound reaches it.  Documents sharing no term with a
+    query are added from the k of smallest id or norm.
     """
-    extra = _extra(train)
-    blocks = stage(content_blocks(train, rows or TRAIN_BLOCK_ROWS), "content-blocks")
+    extra, euclid = _extra(train), metric == "euclidean"
+    value = "dist2" if euclid else "sim"
+    blocks = content_blocks(train, rows or TRAIN_BLOCK_ROWS)
     peaks = (
         blocks.select("_j", F.inline("vec")).groupBy("_j", "term_id").agg(F.max("w").alias("w"))
         .groupBy(F.col("_j").alias("doc_id")).agg(F.collect_list(F.struct("term_id", "w")).alias("vec"))
     )
-    # The margin covers the rounding of similarities and the order of additions.
-    bounds = stage(
-        dot_products(queries, stage(peaks, "peaks")).select(
-            "query_id", F.col("train_id").alias("_j"), (F.col("dot") + 2 * 10.0**-DIGITS).alias("bound")
-        ),
-        "bounds",
-    )
+    q_sq = queries.select(F.col("doc_id").alias("query_id"), squared_norms(queries).alias("_qs"))
+    # The margin covers the rounding of values and the order of additions.
+    margin = 2 * 10.0**-DIGITS
+    bounds = dot_products(queries, stage(peaks, "peaks")).select("query_id", F.col("train_id").alias("_j"), "dot")
+    if euclid:
+        norms = stage(
+            blocks.groupBy("_j").agg(F.min(squared_norms(blocks)).alias("_low"), F.max(squared_norms(blocks)).alias("_high")),
+            "block-norms",
+        )
+        gap = F.greatest(F.sqrt("_low") - F.sqrt("_qs"), F.sqrt("_qs") - F.sqrt("_high"), F.lit(0.0))
+        least = F.greatest(F.col("_qs") + F.col("_low") - 2.0 * F.col("dot"), gap * gap)
+        bounds = bounds.join(broadcast_if_small(norms), "_j").join(q_sq, "query_id").select(
+            "query_id", "_j", (F.lit(margin) - least).alias("bound")
+        )
+    else:
+        bounds = bounds.select("query_id", "_j", (F.col("dot") + margin).alias("bound"))
+    bounds = stage(bounds, "bounds")
     asked = queries.select(F.col("doc_id").alias("query_id"), "vec")
     home = bounds.groupBy("query_id").agg(F.max_by("_j", F.struct("bound", "_j")).alias("_j"))
 
     def search(cells: DataFrame, name: str) -> DataFrame:
-        cells = stage(cells.select("query_id", "_j", F.pmod(F.xxhash64("query_id"), F.lit(64)).alias("_i")), "cells")
+        cells = stage(query_parts(cells.select("query_id", "_j"), QUERY_BLOCK_ROWS), "cells")
         fresh = lambda *names: [F.col(n).alias(n) for n in names]  # noqa: E731  as in ``blocked``
         q = cells.join(asked, "query_id").select(*fresh("query_id", "vec", "_i", "_j"))
         t = blocks.join(cells.select(*fresh("_i", "_j")).distinct(), "_j").select(
             *fresh(*extra), F.col("doc_id").alias("train_id"), *fresh("vec", "_i", "_j")
         )
         tasks = max(2 * parallelism(train.sparkSession), math.ceil(cells.count() / ROWS_PER_TASK))
-        return stage(_multiplied(q, t, train, k, "cosine", [], True, tasks), name)
-
-    first = search(home, "home")
-    limit = top_k(first, k).groupBy("query_id").agg(
-        F.when(F.count(F.lit(1)) >= k, F.min("sim")).otherwise(F.lit(0.0)).alias("_limit")
-    )
+        return stage(_multiplied(q, t, train, k, metric, [], not euclid, tasks), name)
+
+    first = stage(home, "home-cells")
+    found = search(first, "home")
+    # With fewer than k found there is no threshold yet: every block with a common term is searched.
+    merit = -F.max(value) if euclid else F.min(value)
+    none = F.lit(-math.inf) if euclid else F.lit(0.0)
+    limit = top_k(found, k, value).groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, merit).otherwise(none).alias("_limit"))
     others = (
-        bounds.join(home.withColumnRenamed("_j", "_home"), "query_id")
+        bounds.join(first.withColumnRenamed("_j", "_home"), "query_id")
         .join(limit, "query_id", "left")
-        .filter((F.col("_j") != F.col("_home")) & (F.col("bound") >= F.coalesce("_limit", F.lit(0.0))))
+        .filter((F.col("_j") != F.col("_home")) & (F.col("bound") >= F.coalesce("_limit", none)))
     )
-    found = stage(top_k(first.unionByName(search(others, "others")), k), "found")
+    found = top_k(found.unionByName(search(others, "others")), k, value)
+    if euclid:
+        normed = train.select("doc_id", *extra, squared_norms(train).alias("_ts"))
+        return with_apart(found, q_sq, normed, k)
+    found = stage(found, "found")
     return fill_short(found, queries, train, k) if fill else found.filter("sim > 0")
 
 
+def check_ids(side: str, vectors: DataFrame, by: Sequence[str] = ()) -> None:
+    """Refuse missing and repeated ids: neighbours are named by them, so no plan could tell such rows apart."""
+    key = F.col("doc_id") if not by else F.when(F.col("doc_id").isNotNull(), F.struct(*by, "doc_id"))
+    rows, ids = vectors.agg(F.count(F.lit(1)), F.count_distinct(key)).first()
+    if rows != ids:
+        raise ValueError(f"{side}: doc_id must be present and unique")
+
+
 def nearest(
     queries: DataFrame, train: DataFrame, k: int, *, metric: str = "cosine", fill: bool = True,
     plan: str = "auto", by: Sequence[str] = (),
@@ -398,18 +460,20 @@ def nearest(
         raise ValueError("dense Euclidean search is not offered; use cosine")
     if plan not in ("auto", "join", "blocks", "pruned"):
         raise ValueError("plan must be 'auto', 'join', 'blocks' or 'pruned'")
-    if plan == "pruned" and (by or metric != "cosine" or not _is_sparse(train)):
-        raise ValueError("the pruned plan is for cosine over one sparse representation")
+    if plan == "pruned" and (by or not _is_sparse(train) or not non_negative(queries, train)):
+        raise ValueError("the pruned plan is for one sparse representation without negative weights")
     whole = bool(by) and (fill or metric == "euclidean")  # needs the rest of each representation
     if plan == "join" and whole:
         raise ValueError("the join plan fills, and measures distances, for one representation at a time")
+    check_ids("queries", queries, by)
+    check_ids("documents", train, by)
     if plan == "blocks" or whole or not _is_sparse(train):
         return blocked(queries, train, k, metric, fill, by)
-    if plan == "pruned":
-        return pruned(queries, train, k, fill)
+    if plan == "pruned" or (
+        plan == "auto" and not by and train.count() > PRUNED_ROWS and non_negative(queries, train)
+    ):
+        return pruned(queries, train, k, fill, metric=metric)
     pairs, heaviest, held = pair_totals(queries, train, by)
-    if plan == "auto" and not by and metric == "cosine" and train.count() > PRUNED_ROWS:
-        return pruned(queries, train, k, fill)
     if plan == "auto" and pairs > PAIRS_PER_ENTRY * held:
         return blocked(queries, train, k, metric, fill, by)
     return joined(queries, train, k, metric, fill, by, heaviest)

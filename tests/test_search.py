@@ -66,6 +66,56 @@ def test_pruned_plan_equals_blocks(spark, fill):
         assert collected(got, "sim", 1000) == collected(want, "sim", 1000)
 
 
+@pytest.mark.parametrize("k", [1, 6, 500])
+def test_pruned_distances_equal_brute_force(spark, monkeypatch, k):
+    """Rows of several norms, empty rows among them, which are nearer to a query than unrelated documents."""
+    monkeypatch.setattr(nb, "QUERY_BLOCK_ROWS", 4)
+    t, train = random_table(spark, 160, 60, 1, hot=False)
+    q, queries = random_table(spark, 23, 60, 2, label=False, first_id=1000, hot=False)
+    scale = 1.0 + (np.arange(160) % 4)
+    times = F.transform("vec", lambda e: F.struct(e["term_id"].alias("term_id"), (e["w"] * (1 + F.col("doc_id") % 4)).alias("w")))
+    train = train.withColumn("vec", times)
+    got = nb.pruned(queries, train, k, rows=20, metric="euclidean")
+    assert collected(got, "dist2", 1000) == brute(q, t * scale[:, None], k, "euclidean")
+    found = nb.nearest(queries, train, k, metric="euclidean", plan="pruned")
+    assert collected(found, "dist2", 1000) == brute(q, t * scale[:, None], k, "euclidean")
+
+
+def test_cells_of_the_pruned_plan_are_bounded(spark):
+    """A block that every query reaches is cut by its queries; long documents are cut by their entries."""
+    cells = spark.range(1000).select(F.col("id").alias("query_id"), F.when(F.col("id") < 900, 0).otherwise(F.col("id")).cast("long").alias("_j"))
+    sizes = nb.query_parts(cells, 100).groupBy("_j", "_i").count()
+    assert sizes.agg(F.max("count")).first()[0] < 200 and sizes.agg(F.sum("count")).first()[0] == 1000
+    rows = [(i, 1, [(0, 1.0)] + [(j, 0.1) for j in range(1, 40 if i % 2 else 2)]) for i in range(400)]
+    train = spark.createDataFrame(rows, f"doc_id bigint, label int, vec {SPARSE}")
+    blocks = nb.content_blocks(train, 1_000, 800)
+    held = blocks.groupBy("_j").agg(F.sum(F.size("vec")).alias("n"))
+    assert held.agg(F.max("n")).first()[0] <= 2 * 800 and blocks.count() == 400
+
+
+def test_ids_must_name_a_row_in_every_plan(spark):
+    vec = [(0, 1.0)]
+    kind = f"doc_id bigint, vec {SPARSE}"
+    good = spark.createDataFrame([(1, vec), (2, vec)], kind)
+    for rows in ([(1, vec), (1, vec)], [(None, vec), (1, vec)]):
+        bad = spark.createDataFrame(rows, kind)
+        for plan in ("auto", "join", "blocks", "pruned"):
+            for metric in ("cosine", "euclidean"):
+                for pair in ((good, bad), (bad, good)):
+                    with pytest.raises(ValueError, match="unique"):
+                        nb.nearest(*pair, 1, metric=metric, plan=plan)
+
+
+def test_negative_weights_are_not_pruned(spark, monkeypatch):
+    kind = f"doc_id bigint, vec {SPARSE}"
+    train = spark.createDataFrame([(i, [(0, 1.0 - i), (1, 0.5)]) for i in range(6)], kind)
+    asked = spark.createDataFrame([(9, [(0, -1.0)])], kind)
+    with pytest.raises(ValueError):
+        nb.nearest(asked, train, 2, plan="pruned")
+    monkeypatch.setattr(nb, "PRUNED_ROWS", 1)
+    assert [r["train_id"] for r in nb.nearest(asked, train, 2).orderBy("rank").collect()] == [5, 4]
+
+
 def test_pruned_plan_visits_few_cells_of_clustered_rows(spark, monkeypatch):
     """Twenty groups with terms of their own: a query meets its own block and its neighbour at most."""
     rows = [(i, 1, [(10 * (i % 20) + j, 0.5) for j in range(4)]) for i in range(400)]
