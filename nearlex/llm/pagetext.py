@@ -59,6 +59,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PRAISE = frozenset("article content main post entry story body text".split())
 #: Winning paths kept per host.
 PATHS = 3
+#: Between the steps of a path: no class name holds a blank, many hold slashes.
+PATH_MARK = " "
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
@@ -177,7 +179,7 @@ def blocks(page: str) -> list[Block]:
             open_tags.append((tag, False, None, None))
             links += 1
             continue
-        headline = tag == "header" and any(t[0] == "article" for t in open_tags)
+        headline = tag == "header" and any(t[0] in ("article", "main") for t in open_tags)
         bad = tag in BOILERPLATE and not headline
         kind = _marked(tag, names)
         if tag in ("main", "article") and not kind and not hidden and holders is None:
@@ -255,7 +257,7 @@ def winning_paths(pages: DataFrame) -> DataFrame:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
                 path = best_container(blocks(page or ""))
                 if path:
-                    key = (host, "/".join(path))
+                    key = (host, PATH_MARK.join(path))
                     tally[key] = tally.get(key, 0) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([h for h, _ in tally], pa.string()), pa.array([p for _, p in tally], pa.string()),
@@ -292,12 +294,12 @@ def extract(pages: DataFrame) -> DataFrame:
             made, used = [], []
             for page, paths in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist()):
                 parts = blocks(page or "")
-                have = {"/".join(p.path[:d]) for p in parts for d in range(1, len(p.path) + 1)}
-                path = next((tuple(p.split("/")) for p in paths or () if p in have), None)
+                have = {PATH_MARK.join(p.path[:d]) for p in parts for d in range(1, len(p.path) + 1)}
+                path = next((tuple(p.split(PATH_MARK)) for p in paths or () if p in have), None)
                 if path is None:
                     path = best_container(parts)
                 made.append(rendered(parts, path))
-                used.append("/".join(path) if path else None)
+                used.append(PATH_MARK.join(path) if path else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(made, pa.string()),
                  pa.array([len(t) for t in made], pa.int64()), pa.array(used, pa.string())],

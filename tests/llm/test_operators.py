@@ -284,6 +284,15 @@ def test_page_text(spark):
     assert pagetext.extract(pages(spark, [])).count() == 0
 
 
+def test_class_names_with_slashes_and_a_headline_in_main(spark):
+    story = " ".join(f"The story has sentence number {i} and goes on for a while." for i in range(20))
+    rows = [(i, "http://h.org/a", f'<body><div class="w-1/2 p-0.5"><p>{story}</p></div></body>') for i in range(3)]
+    rows += [(20, "http://m.org/a", f"<body><header>Site</header><main><header><h1>Title</h1></header><p>{story}</p></main></body>")]
+    got = {r["page_id"]: r["text"] for r in pagetext.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(got[i] == story for i in (0, 1, 2))
+    assert got[20] == f"Title\n\n{story}"
+
+
 def test_page_path_of_the_host_wins(spark):
     usual = "<body><div class='text n1'><p>{}</p></div><div class=more>{}</div>"
     rows = [(i, "http://h.org/", usual.format("article words " * 20, "x")) for i in range(5)]

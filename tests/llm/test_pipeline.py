@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 def test_all_are_registered():
     names = set(entry.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
 
 
@@ -42,6 +42,18 @@ def test_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, FOLDER).count() == before.count()
 
 
+def test_the_last_stage_decodes(spark):
+    import hashlib
+
+    docs = spark.createDataFrame(
+        [(1, "abc  déf", "en", "a", 8), (None, None, None, None, None), (1, "", "en", "b", 0)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    )
+    got = corpus_pipeline.byte_level_bpe(spark, docs, FOLDER).collect()
+    want = sorted(hashlib.sha256((r.text or "").encode()).hexdigest() for r in docs.collect())
+    assert sorted(r.decoded_sha256 for r in got) == want
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").filter("false")
     for _, stage in corpus_pipeline.STAGES:
