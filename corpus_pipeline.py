@@ -2,7 +2,13 @@
 
 Every stage takes (spark, docs, sf_dir), with ``docs`` the table its predecessor
 kept.  All but the last return the columns of ``documents``; the last returns
-the ids of the tokens instead of the text.
+the ids of the tokens instead of the text, decoded again to a digest.
+
+Edge cases: null and empty texts are rejected by language ID; a null lang, source
+or id and repeated rows pass as any other row, except that of near-duplicates one
+stays.  Very long texts are worked on whole.  An empty table stays empty.  Extra
+columns are kept up to the last stage, which returns its own.  Ties are settled
+by the stages' operators.
 """
 
 from __future__ import annotations
@@ -40,12 +46,13 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
+    """Token ids of every document, and the digest of the bytes decoded from them."""
     import public_tokenizers
 
     return bpe.encode(
         docs.select("doc_id", "lang", "source", "text"),
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+        outputs=("ids", "n_tokens", "decoded_sha256"),
     )
 
 

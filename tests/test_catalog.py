@@ -9,13 +9,8 @@ from compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-# The operators of training data have tests of their own; of the other queries the
-# models on 300 components take minutes and run with NEARLEX_ALL=1.
-SLOW = ("m9", "m10", "m13", "script_ensemble", "script_bm25_lsi")
-NAMES = [
-    n for n in QUERIES
-    if not n.startswith(("op", "pipeline")) and (os.environ.get("NEARLEX_ALL") or not n.startswith(SLOW))
-]
+# The operators of training data have tests of their own.
+NAMES = [n for n in QUERIES if not n.startswith(("op", "pipeline"))]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
