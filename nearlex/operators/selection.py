@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearlex.operators.ranking import ranked
+from nearlex.operators.ranking import largest, ranked
 from nearlex.operators.rowjoin import matched, only_hits
 from nearlex.operators.vectors import entries
 from nearlex.functions.expressions import unit_vector
@@ -39,8 +39,14 @@ def chi2_scores(train: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def best_terms(scores: DataFrame, vocab: DataFrame, k: int) -> DataFrame:
-    """Top ``k`` terms by score, ties to the smaller term; ``k`` may exceed the rest."""
-    named = scores.join(broadcast_if_small(vocab, "term_id", "term"), "term_id")
+    """Top ``k`` terms by score, ties to the smaller term; ``k`` may exceed the rest.
+
+    The score of the last is found by counting; only terms that reach it are named and sorted.
+    """
+    scores = stage(scores.withColumn("_key", F.expr("try_cast(round(chi2, 6) * 1000000 AS bigint)")), "scores")
+    known = largest(scores.filter("_key is not null"), F.col("_key"), k)
+    reached = known.unionByName(scores.filter("_key is null")).drop("_key")
+    named = reached.join(broadcast_if_small(vocab, "term_id", "term"), "term_id")
     order = [F.round("chi2", 6).desc(), F.col("term").asc()]
     return stage(ranked(named, order, "rank", k), "selected")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nearlex.operators import ensemble, neighbours as nb, votes
@@ -31,20 +31,40 @@ def judged(
     )
 
 
+def winners(found: DataFrame, ks: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
+    """``query_id, preds``: the winning label of each query for every k that has a neighbour, as a map.
+
+    A class' score changes only at its own neighbours, so each neighbour stands
+    for the ks up to the next one of its class, with the running sum there.  The
+    neighbours are shuffled once, by query; nothing is copied before that.
+    """
+    keys = [*by, "query_id"]
+    rows = found.filter(F.col("rank") <= max(ks)).select(*keys, "label", "rank", "sim").repartition(*keys)
+    own = Window.partitionBy(*keys, "label").orderBy("rank")
+    running = rows.select(
+        *keys, "label", "rank", F.sum("sim").over(own).alias("score"), F.min("rank").over(own).alias("first_rank"),
+        F.lead("rank").over(own).alias("_next"),
+    )
+    listed = F.array(*[F.lit(int(k)) for k in ks])
+    standing = F.filter(listed, lambda k: (k >= F.col("rank")) & (F.col("_next").isNull() | (k < F.col("_next"))))
+    decided = votes.decide(running.withColumn("k", F.explode(standing)), [*by, "k"])
+    return decided.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("k", "pred"))).alias("preds"))
+
+
 def k_sweep(
     found: DataFrame, truth: DataFrame, ks: Sequence[int], lowest_label: int,
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Macro-F1 for every k from one top-max(k) neighbour table.
 
-    Votes are similarity-weighted, ties to the class with the nearest member.
+    Votes are similarity-weighted, ties to the class with the nearest member; a
+    query without a neighbour gets the lowest label.
     """
     listed = F.array(*[F.lit(int(k)) for k in ks])
-    within = F.filter(listed, lambda k: k >= F.col("rank"))
-    rows = found.withColumn("k", F.explode(within))
-    decided = votes.decide(votes.nearest_first_scores(rows, [*by, "k"]), [*by, "k"])
-    wanted = truth.select("*", F.explode(listed).alias("k"))
-    return macro_f1(judged(decided, wanted, lowest_label, [*by, "k"]), [*by, "k"])
+    both = truth.join(winners(found, ks, by), [*by, "query_id"], "left")
+    each = both.select(*by, "query_id", "truth", "preds", F.explode(listed).alias("k"))
+    pred = F.coalesce(F.try_element_at("preds", F.col("k")), F.lit(lowest_label))
+    return macro_f1(each.withColumn("pred", pred), [*by, "k"])
 
 
 def bm25_grid(

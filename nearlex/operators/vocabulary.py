@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from nearlex.functions import expressions as ex
 from nearlex.operators.bags import document_frequencies
-from nearlex.operators.ranking import ranked
+from nearlex.operators.ranking import largest, ranked
 from nearlex.session import stage
 
 
@@ -24,7 +24,8 @@ def fit_vocabulary(
     """Stage ``term, term_id, df, idf`` for the training bags.
 
     ``cap_by`` ranks terms by ``df`` or by ``total`` count; ties go to the
-    smaller term.  ``max_df`` is a share of documents.
+    smaller term.  ``max_df`` is a share of documents.  The cap is found by
+    counting, so only the terms that stay, and ties of the last, are sorted.
     """
     if idf not in ("bm25", "smooth"):
         raise ValueError("idf must be 'bm25' or 'smooth'")
@@ -33,6 +34,8 @@ def fit_vocabulary(
     counts = document_frequencies(bag).filter(F.col("df") >= min_df)
     if max_df is not None:
         counts = counts.filter(F.col("df") <= F.lit(max_df * n_docs))
+    if max_terms is not None:
+        counts = largest(stage(counts, "counts"), F.col(cap_by), max_terms)
     order = [F.col(cap_by).desc(), F.col("term").asc()]
     formula = ex.idf_bm25 if idf == "bm25" else ex.idf_smooth
     vocab = ranked(counts, order, "term_id", max_terms).select(

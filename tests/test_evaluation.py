@@ -1,7 +1,8 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nearlex.operators import ensemble, metrics, splits, sweeps
+from nearlex.operators import ensemble, metrics, splits, sweeps, votes
 
 
 def judged(spark, pairs, by=None):
@@ -105,3 +106,18 @@ def test_holdout_with_rows_without_a_label(spark):
     docs = spark.createDataFrame([(i, i % 3 or None) for i in range(30)], "doc_id bigint, label int")
     split = splits.stratified_holdout(docs, 0.2)
     assert split.count() == 30 and split.filter("is_val").count() == 6
+
+
+def test_sweep_shuffles_neighbours_once_whatever_the_list(spark):
+    rng = np.random.default_rng(3)
+    rows = [(q, 100 + r, int(rng.integers(1, 4)), round(float(rng.random()), 2), r) for q in range(30) for r in range(1, int(rng.integers(2, 40)))]
+    found = spark.createDataFrame(rows, "query_id bigint, train_id bigint, label int, sim double, rank int")
+    truth = spark.createDataFrame([(q, q % 3 + 1) for q in range(32)], "query_id bigint, truth int")
+    ks = (1, 2, 5, 9, 30, 50)
+    swept = {r["k"]: r["macro_f1"] for r in sweeps.k_sweep(found, truth, ks, 1).collect()}
+    for k in ks:
+        decided = votes.decide(votes.nearest_first_scores(found.filter(F.col("rank") <= k)))
+        assert swept[k] == pytest.approx(metrics.macro_f1(sweeps.judged(decided, truth, 1)).first()["macro_f1"])
+    for several in ((5,), tuple(range(1, 60))):
+        plan = sweeps.winners(found, several)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1

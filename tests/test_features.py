@@ -243,6 +243,40 @@ def test_heavy_keys_are_few_and_dealt(spark):
     assert [tuple(r) for r in heavy_keys(keys, 100).collect()] == [("hot", 4)]
 
 
+def test_nth_value_by_counting(spark):
+    from nearlex.operators.ranking import largest, nth_smallest
+
+    rng = np.random.default_rng(8)
+    values = np.concatenate([rng.integers(-(2**62), 2**62, 300), rng.integers(-5, 5, 300), [2**63 - 1, -(2**63)]]).tolist()
+    frame = spark.createDataFrame([(int(v),) for v in values], "x bigint").repartition(5)
+    for n in (0, 1, 150, 300, 450, 601):
+        want = sorted(values)[n]
+        assert nth_smallest(frame, F.col("x"), n) == (want, sum(v < want for v in values))
+    assert nth_smallest(frame, F.col("x"), 602) is None
+    for n in (1, 7, 301, 602, 900):
+        bound = sorted(values)[-min(n, len(values))]
+        assert sorted(r["x"] for r in largest(frame, F.col("x"), n).collect()) == sorted(v for v in values if v >= bound)
+    assert largest(frame, F.col("x"), 0).count() == 0
+
+
+def test_caps_sort_only_what_stays(spark, monkeypatch):
+    """The whole vocabulary and all scores are counted, never sorted."""
+    from nearlex.operators import vocabulary
+
+    sorted_rows = []
+    for module in (vocabulary, selection):
+        inner = module.ranked
+        monkeypatch.setattr(module, "ranked", lambda df, *a, f=inner: sorted_rows.append(df.count()) or f(df, *a))
+    rows = [(i, [(f"t{j:03d}", 1) for j in range(100) if j <= i]) for i in range(100)]
+    bag = spark.createDataFrame([(i, len(t), t) for i, t in rows], "doc_id bigint, dl int, terms array<struct<term:string,tf:bigint>>")
+    vocab = fit_vocabulary(bag, 100, min_df=1, max_terms=7)
+    assert [r["term"] for r in vocab.orderBy("term_id").collect()] == [f"t{j:03d}" for j in range(7)]
+    scores = spark.range(100).select(F.col("id").cast("int").alias("term_id"), (F.col("id") / 10.0).alias("chi2"))
+    names = spark.range(100).select(F.col("id").cast("int").alias("term_id"), F.concat(F.lit("w"), "id").alias("term"))
+    assert sorted(r["term_id"] for r in selection.best_terms(scores, names, 3).collect()) == [97, 98, 99]
+    assert sorted_rows == [7, 3]
+
+
 def test_first_rows_without_sorting_them(spark):
     from nearlex.operators.ranking import before_rank, head
 
