@@ -3,8 +3,9 @@
 Zstandard ratios (compressed over raw bytes) of the whole text and of fixed
 chunks are compared with limits that depend on the length: text that shrinks too
 far is repetitive, text that hardly shrinks is not prose.  A text is rejected by
-its whole ratio, or if more than ``CHUNK_SHARE`` of its chunks are outside their
-band.
+its whole ratio, or if adjacent chunks outside their band are ``RUN_BYTES`` long
+together, however long the text around them is.  Short chunks find encoded parts,
+long ones repetition over a wide distance.
 
 Edge cases: a null text counts as empty; both have no word and fail the base
 rule.  A text too short for a limit passes it.  Repeated rows and null ids are
@@ -24,10 +25,10 @@ from nearlex.llm.base import arrow_step, bound_batches, replaced, texts
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 LEVEL = 3
-CHUNK_BYTES = 4096
-#: A last chunk below this many bytes is left out; its ratio says little.
-LEAST_CHUNK = 1024
-CHUNK_SHARE = 0.2
+#: Bytes of a chunk; a text is cut once by each.  A last piece below half of it joins the chunk before.
+CHUNK_BYTES = (1024, 4096)
+#: Adjacent bad chunks of this many bytes reject a text: any 3,071 bytes of junk in a row fill two short chunks.
+RUN_BYTES = 2048
 #: (bytes from, lowest ratio, highest ratio); the frame of a short text alone outweighs its gain.
 BANDS = (
     (0, 0.00, 99.0), (64, 0.50, 1.40), (128, 0.42, 1.10), (256, 0.38, 0.95), (512, 0.36, 0.84),
@@ -42,15 +43,28 @@ def outside(ratio: float, size: int) -> bool:
     return not low <= ratio <= high
 
 
-def ratios(raw: bytes, press: zstandard.ZstdCompressor) -> tuple[float, list[tuple[float, int]]]:
-    """Whole ratio, and (ratio, bytes) of every chunk that is long enough."""
-    if not raw:
-        return 1.0, []
-    view = memoryview(raw)
-    chunks = [view[at : at + CHUNK_BYTES] for at in range(0, len(raw), CHUNK_BYTES)]
-    return len(press.compress(raw)) / len(raw), [
-        (len(press.compress(c)) / len(c), len(c)) for c in chunks if len(c) >= LEAST_CHUNK
-    ]
+def chunks_of(raw: memoryview, size: int) -> list[memoryview]:
+    """Chunks of ``size`` bytes, the last one half to one and a half times as long; none for a shorter text."""
+    cuts = list(range(0, len(raw), size))
+    if len(cuts) > 1 and len(raw) - cuts[-1] < size // 2:
+        cuts.pop()
+    return [raw[at:to] for at, to in zip(cuts, [*cuts[1:], len(raw)])] if len(raw) >= size else []
+
+
+def bad_runs(raw: memoryview, press: zstandard.ZstdCompressor) -> tuple[int, int, int]:
+    """Chunks outside their band, all chunks, and bytes of the longest run of adjacent bad ones."""
+    bad = total = longest = 0
+    for size in CHUNK_BYTES:
+        run = 0
+        for chunk in chunks_of(raw, size):
+            total += 1
+            if outside(len(press.compress(chunk)) / len(chunk), len(chunk)):
+                bad += 1
+                run += len(chunk)
+                longest = max(longest, run)
+            else:
+                run = 0
+    return bad, total, longest
 
 
 def repeated_words(words: list[bytes], window: int = 3) -> int:
@@ -75,7 +89,7 @@ def repeated_words(words: list[bytes], window: int = 3) -> int:
 
 FIELDS = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint,"
-    " base_failed boolean, ratio double, bad_chunks bigint, n_chunks bigint, kept boolean"
+    " base_failed boolean, ratio double, bad_chunks bigint, n_chunks bigint, bad_run bigint, kept boolean"
 )
 
 
@@ -86,12 +100,12 @@ def judge(text: str, press: zstandard.ZstdCompressor) -> tuple:
     lines = [line for line in text.split("\n") if line.strip(SPACES)]
     repeat = repeated_words(words)
     base_failed = len(words) < 50 or 100 * repeat > 50 * len(words)
-    whole, chunks = ratios(raw, press)
-    bad = sum(outside(*chunk) for chunk in chunks)
-    fits = not outside(whole, len(raw)) and bad <= CHUNK_SHARE * len(chunks)
+    whole = len(press.compress(raw)) / len(raw) if raw else 1.0
+    bad, n_chunks, run = bad_runs(memoryview(raw), press)
+    fits = not outside(whole, len(raw)) and run < RUN_BYTES
     return (
         len(words), len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)),
-        len(lines) - len(set(lines)), repeat, base_failed, whole, bad, len(chunks),
+        len(lines) - len(set(lines)), repeat, base_failed, whole, bad, n_chunks, run,
         not base_failed and fits,
     )
 
@@ -105,7 +119,7 @@ def judged(docs: DataFrame) -> DataFrame:
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         press = zstandard.ZstdCompressor(level=LEVEL)
         rows = [judge(t, press) for t in texts(batch)]
-        kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
+        kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), *[pa.int64()] * 3, pa.bool_()]
         columns = {n: pa.array([r[i] for r in rows], k) for i, (n, k) in enumerate(zip(names, kinds))}
         return replaced(batch, "text", **columns)
 

@@ -435,6 +435,54 @@ def test_compression_bands_reject_repeats_and_noise(spark, given):
     assert not got[2]["base_failed"] and got[2]["ratio"] > 0.7
 
 
+def brute_kept(text):
+    """Verdict from the rule as written: bands by length, two cuts, adjacent bad chunks of 2,048 bytes."""
+    import zstandard
+
+    def bad(piece):
+        low, high = [(lo, hi) for at, lo, hi in rules.BANDS if at <= len(piece)][-1]
+        share = len(zstandard.ZstdCompressor(level=3).compress(piece)) / len(piece)
+        return share < low or share > high
+
+    raw = text.encode("utf-8", "surrogatepass")
+    if brute_rules(text)[-1] or bad(raw):
+        return False
+    for size in (1024, 4096):
+        pieces = [raw[i : i + size] for i in range(0, len(raw), size)] if len(raw) >= size else []
+        if len(pieces) > 1 and len(pieces[-1]) < size / 2:
+            pieces[-2:] = [pieces[-2] + pieces[-1]]
+        marks = [bad(p) for p in pieces]
+        for i in range(len(pieces)):
+            for j in range(i, len(pieces)):
+                if not marks[j]:
+                    break
+                if sum(map(len, pieces[i : j + 1])) >= 2048:
+                    return False
+    return True
+
+
+def test_kept_against_brute_force(spark, given):
+    want = {r["doc_id"]: brute_kept(r["text"] or "") for r in given.select("doc_id", "text").collect()}
+    assert {r["doc_id"]: r["kept"] for r in rules.judged(given).collect()} == want
+    assert len(set(want.values())) == 2
+
+
+@pytest.mark.parametrize("around", [16_000, 40_000, 400_000])
+def test_junk_is_found_whatever_the_length_around_it(spark, given, around):
+    rng = random.Random(3)
+    words = sorted({w for r in given.filter("lang = 'en'").limit(40).collect() for w in r["text"].split() if w.isalpha()})
+    prose = ""
+    while len(prose) < around:
+        prose += " ".join(rng.choices(words, k=2_000)) + " "
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    junk = "".join(rng.choices(letters, k=3_200))
+    line = "buy this now or never again and again, friends. "
+    at = around // 2 + 333
+    rows = [(1, prose), (2, prose[:at] + junk + prose[at:]), (3, prose[:at] + line * 100 + prose[at:]), (4, prose + junk)]
+    got = {r["doc_id"]: r["kept"] for r in rules.judged(corpus(spark, rows)).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: False}
+
+
 # -- BPE ---------------------------------------------------------------------
 
 
