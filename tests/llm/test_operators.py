@@ -323,6 +323,61 @@ def test_marks_spare_headings_sections_and_headlines():
     assert own_text(page) == "Head\n\nRelated\n\nOne\n\nTwo\n\nThree of these"
 
 
+def sentences(rng, n):
+    return " ".join(f"The {rng.choice(['river', 'market', 'teacher'])} of part {rng.randint(1, 999)} went on for quite a while." for _ in range(n))
+
+
+def extracted(spark, rows):
+    made = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return {r["page_id"]: r["text"] for r in pagetext.extract(made).collect()}
+
+
+def test_article_text_is_not_lost_on_the_way_down(spark):
+    rng = random.Random(4)
+    lead, rest, story, more = (sentences(rng, n) for n in (8, 12, 20, 5))
+    split = f"<body><div class=lead><p>{lead}</p></div><div class=content><p>{rest}</p></div></body>"
+    usual = "<body><article><p>{}</p></article></body>"
+    rows = [(1, "http://a.org/", split)]
+    rows += [(i, "http://b.org/", usual.format(sentences(rng, 9))) for i in range(10, 16)]
+    rows.append((20, "http://b.org/", f"<body><div class=story><p>{story}</p></div><article>A small teaser</article></body>"))
+    rows.append((30, "http://c.org/", f"<body><nav><ul><li><a href=/>Home</a></ul><div class=page><p>{story}</p></div></body>"))
+    rows.append((31, "http://d.org/", f"<body><nav><a href=/>Home</a><article><p>{story}</p></article><nav>x</nav></body>"))
+    comments = "".join(f"<article class=comment><p>{sentences(rng, 30)}</p></article>" for _ in range(3))
+    rows.append((40, "http://e.org/", f"<body><div class=page><p>{more}</p></div><div class=comments>{comments}</div></body>"))
+    rows.append((41, "http://f.org/", f"<body><div class='page comments-open'><p>{more}</p></div><div id=disqus_thread>{comments}</div></body>"))
+    got = extracted(spark, rows)
+    assert got[1] == f"{lead}\n\n{rest}"
+    assert got[20] == got[30] == got[31] == story
+    assert got[40] == got[41] == more
+
+
+LAYOUTS = (
+    "<body><nav><a href=/>Home</a></nav><article class='post p-{i}'>{body}</article><aside>{noise}</aside></body>",
+    "<body><div class='w-1/2 story'>{body}</div><div class=sidebar><p>{noise}</p></div><footer>{noise}</footer></body>",
+    "<body><form><input><button>Go</button></form><main><section>{body}</section></main><section id=comments><p>{noise}</p></section></body>",
+    "<body><div class=top><a href=/>{noise}</a></div><div class=outer><div class=inner-{i}>{body}</div><div class=cookie-notice>{noise}</div></div></body>",
+    "<body><header>{noise}</header><table><tr><td class=left><a href=/x>{noise}</a></td><td class=body>{body}</td></tr></table></body>",
+)
+
+
+def test_known_articles_over_several_layouts_of_a_host(spark):
+    rng = random.Random(5)
+    rows, want = [], {}
+    for i in range(150):
+        parts = [f"Headline {i} &amp; more"] + [sentences(rng, rng.randint(2, 12)) for _ in range(rng.randint(1, 6))]
+        body = f"<h1>{parts[0]}</h1>" + "".join(f"<p>{p}</p>" for p in parts[1:])
+        layout = LAYOUTS[rng.choice([0, 0, 0, 1, 1, 2, 3, 4])]
+        rows.append((i, f"http://h{i % 3}.org/{i}", layout.format(i=i, body=body, noise=sentences(rng, 2))))
+        want[i] = "\n\n".join(parts).replace("&amp;", "&")
+    assert extracted(spark, rows) == want
+
+
+def test_extra_columns_of_pages_may_clash(spark):
+    row = (1, "http://a.org/", "<p>one</p>", "x", "y", 3)
+    made = spark.createDataFrame([row, row], "page_id bigint, url string, html string, host string, path string, n_chars int")
+    assert [(r["text"], r["n_chars"]) for r in pagetext.extract(made).collect()] == [("one", 3)] * 2
+
+
 # -- SimHash -----------------------------------------------------------------
 
 
