@@ -7,9 +7,16 @@ its words; the reported score is the posterior of the best language.
 
 Word and n-gram counts are Spark aggregates.  The model is a classifier and is
 fitted on a bounded sample: at most about ``SAMPLE_ROWS`` labelled rows of each
-of the ``LANGUAGES`` most frequent languages, chosen by a hash of the id, and the ``MODEL_WORDS`` and
-``MODEL_GRAMS`` most frequent entries, so its size does not grow with the
-corpus.  Every text is scored whole.
+language, chosen by a hash of the id.  Every value of ``lang`` is learned, however
+rare.  Each language brings its ``MODEL_WORDS`` most frequent words and
+``MODEL_GRAMS`` most frequent n-grams, those seen once included, and an entry that
+one language brings keeps its counts in all of them.  So the size of the model
+follows the number of languages and not the corpus, and a large language takes
+nothing from a small one.  Every text is scored whole.
+
+A count c of N in a language gives log((c + m p) / (N + m)), with p the mean
+relative frequency of the entry over all languages and m ``PRIOR_COUNT``; so a
+language with few rows has no better chances at words it has never seen.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0, and
 so is every text when no labelled row exists.  Rows with a null label teach
@@ -25,22 +32,24 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from nearlex.llm.base import arrow_step, bound_batches, remainder, replaced
-from nearlex.session import stage
+from nearlex.session import broadcast_if_small, stage
 
-#: Bounds of the fitted model.
+#: Bounds of the fitted model, each for one language.
 SAMPLE_ROWS = 4_000
-LANGUAGES = 200
-MODEL_WORDS = 120_000
-MODEL_GRAMS = 120_000
+MODEL_WORDS = 30_000
+MODEL_GRAMS = 30_000
+#: Values of unseen words remembered by a worker, and words scored at once.
+HELD_VALUES = 1_000_000
+WORDS_AT_ONCE = 4_096
 LONGEST = 5
 UNKNOWN = "und"
-#: Log-probability ratio between a step of backing off and the next.
-SMOOTHING = 0.5
+#: Weight of the mean over all languages, as a number of counts.
+PRIOR_COUNT = 20.0
 
 
 def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -60,10 +69,28 @@ def grams(word: str, size: int) -> list[str]:
 
 @dataclass
 class Table:
-    """Log frequencies: one row of ``logs`` an entry, one column a language."""
+    """Log frequencies of entries in every language.
+
+    ``logs`` has one row an entry and one column a language; with ``starts`` it
+    holds the counted values only, those of entry i from ``starts[i]`` on, in the
+    languages ``columns``, and others are ``base[i] + shift[language]``.
+    """
 
     place: dict[str, int]
     logs: np.ndarray
+    starts: np.ndarray | None = None
+    columns: np.ndarray | None = None
+    base: np.ndarray | None = None
+    shift: np.ndarray | None = None
+
+    def rows(self, entries: list[int]) -> np.ndarray:
+        if self.starts is None:
+            return self.logs[entries]
+        out = self.base[entries][:, None] + self.shift
+        for i, entry in enumerate(entries):
+            part = slice(self.starts[entry], self.starts[entry + 1])
+            out[i, self.columns[part]] = self.logs[part]
+        return out
 
 
 @dataclass
@@ -77,11 +104,11 @@ class Model:
         """Log score of a word in each language."""
         at = self.words.place.get(word)
         if at is not None:
-            return self.words.logs[at]
+            return self.words.rows([at])[0]
         for size in range(LONGEST, 0, -1):
             found = [g for g in map(self.grams.place.get, grams(word, size)) if g is not None]
             if found:
-                return self.grams.logs[found].mean(axis=0)
+                return self.grams.rows(found).mean(axis=0)
         return np.zeros(len(self.languages))
 
     def predict(self, column: pa.Array, held: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:
@@ -91,16 +118,23 @@ class Model:
         if not k or not len(words):
             return [UNKNOWN] * n, np.zeros(n)
         coded = words.dictionary_encode()
-        table = np.empty((len(coded.dictionary), k))
-        for i, word in enumerate(coded.dictionary.to_pylist()):
-            row = held.get(word)
-            if row is None:
-                row = self.word(word)
-                if len(held) < 50_000 and len(word) < 40:
-                    held[word] = row
-            table[i] = row
-        codes = np.asarray(coded.indices)
-        total = np.stack([np.bincount(rows, table[codes, j], minlength=n) for j in range(k)], axis=1) + self.prior
+        distinct = coded.dictionary.to_pylist()
+        order = np.argsort(np.asarray(coded.indices), kind="stable")
+        codes, rows_of = np.asarray(coded.indices)[order], rows[order]
+        total = np.tile(self.prior, (n, 1))
+        for first in range(0, len(distinct), WORDS_AT_ONCE):
+            some = distinct[first : first + WORDS_AT_ONCE]
+            table = np.empty((len(some), k))
+            for i, word in enumerate(some):
+                row = held.get(word)
+                if row is None:
+                    row = self.word(word)
+                    if len(held) * k < HELD_VALUES and len(word) < 40:
+                        held[word] = row
+                table[i] = row
+            part = slice(*np.searchsorted(codes, [first, first + len(some)]))
+            for j in range(k):
+                total[:, j] += np.bincount(rows_of[part], table[codes[part] - first, j], minlength=n)
         best = total.argmax(axis=1)
         posterior = 1.0 / np.exp(np.maximum(total - total.max(axis=1, keepdims=True), -700)).sum(axis=1)
         known = np.bincount(rows, minlength=n) > 0
@@ -108,17 +142,31 @@ class Model:
         return names, np.where(known, posterior, 0.0)
 
 
-def _log_table(counts: list, languages: list[str], totals: dict[str, float]) -> Table:
-    """Log frequencies per language of every counted entry, smoothed by a constant."""
-    column = {name: i for i, name in enumerate(languages)}
-    place: dict[str, int] = {}
-    for row in counts:
-        place.setdefault(row["entry"], len(place))
-    values = np.full((len(place), len(languages)), SMOOTHING)
-    for row in counts:
-        values[place[row["entry"]], column[row["lang"]]] += row["n"]
-    size = np.array([totals[name] for name in languages]) + SMOOTHING * (len(place) + 1)
-    return Table(place, np.log(values / size))
+def _log_table(counts: pa.Table, languages: list[str], totals: np.ndarray) -> Table:
+    """Log frequencies of every counted entry from its rows (lang, entry, n)."""
+    coded = counted_codes(counts.column("entry"))
+    entry, names = np.asarray(coded.indices), coded.dictionary.to_pylist()
+    column = np.asarray(pc.index_in(counts.column("lang"), pa.array(languages, pa.string())))
+    n = np.asarray(counts.column("n")).astype(np.float64)
+    order = np.lexsort((column, entry))
+    entry, column, n = entry[order], column[order], n[order]
+    mean = np.bincount(entry, n / totals[column], minlength=len(names)) / max(len(languages), 1)
+    shift = -np.log(totals + PRIOR_COUNT)
+    logs = np.log(n + PRIOR_COUNT * mean[entry]) + shift[column]
+    starts = np.searchsorted(entry, np.arange(len(names) + 1))
+    return Table(dict(zip(names, range(len(names)))), logs, starts, column, np.log(PRIOR_COUNT * mean), shift)
+
+
+def counted_codes(column: pa.ChunkedArray) -> pa.DictionaryArray:
+    """One dictionary array of a column."""
+    return column.combine_chunks().cast(pa.string()).dictionary_encode()
+
+
+def _brought(counted: DataFrame, bound: int) -> pa.Table:
+    """All counts of the entries that are among the ``bound`` most frequent of a language."""
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "entry")
+    chosen = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= bound)
+    return counted.join(chosen.select("entry").distinct(), "entry", "left_semi").select("lang", "entry", "n").toArrow()
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -127,13 +175,14 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     usable = docs.select("doc_id", "lang", "text").filter(
         F.col("lang").isNotNull() & (remainder(F.col("doc_id"), 4) != 2)
     )
-    per = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    sizes = stage(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows")), "languages")
+    per = {r["lang"]: r["n_rows"] for r in sizes.collect()}  # one row a language
+    nothing = Table({}, np.zeros((0, 0)))
     if not per:
-        return Model([], Table({}, np.zeros((0, 0))), Table({}, np.zeros((0, 0))), np.zeros(0))
+        return Model([], nothing, nothing, np.zeros(0))
     languages = sorted(per)
-    share = F.create_map(*[F.lit(x) for name in languages for x in (name, sample_rows / per[name])])
     chance = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) / float(1 << 20)
-    sample = usable.filter(chance < share[F.col("lang")])
+    sample = usable.join(broadcast_if_small(sizes), "lang").filter(chance < sample_rows / F.col("n_rows"))
 
     def count(batches):
         for batch in batches:
@@ -148,29 +197,27 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
         "language-words",
     )
     padded = F.concat(F.lit("_"), "entry", F.lit("_"))
-    sizes = F.explode(F.sequence(F.lit(1), F.lit(LONGEST))).alias("size")
+    spans = F.explode(F.sequence(F.lit(1), F.lit(LONGEST))).alias("size")
     places = F.expr("transform(sequence(1, greatest(length(padded) - size + 1, 0)), i -> substring(padded, i, size))")
-    pieces = (
+    pieces = stage(
         counted.select("lang", "n", padded.alias("padded"))
-        .select("lang", "n", "padded", sizes)
+        .select("lang", "n", "padded", spans)
         .filter("length(padded) >= size")
         .select("lang", "n", F.explode(places).alias("entry"))
         .groupBy("lang", "entry")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n")),
+        "language-grams",
     )
-    # One count per language and entry; the most frequent ones make the model.
-    words = counted.filter("n > 1").orderBy(F.desc("n"), "entry", "lang").limit(MODEL_WORDS).collect()
-    parts = pieces.filter("n > 1").orderBy(F.desc("n"), "entry", "lang").limit(MODEL_GRAMS).collect()
-    totals = {r["lang"]: float(r["n"]) for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    for name in languages:
-        totals.setdefault(name, 0.0)
+    seen = {r["lang"]: float(r["n"]) for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    totals = np.array([seen.get(name, 1.0) for name in languages])
     prior = np.array([math.log((per[name] + 1.0) / (sum(per.values()) + len(per))) for name in languages])
+    words, parts = (_brought(table, bound) for table, bound in ((counted, MODEL_WORDS), (pieces, MODEL_GRAMS)))
     return Model(languages, _log_table(words, languages, totals), _log_table(parts, languages, totals), prior)
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row of ``docs``."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs))  # bounded by the model constants
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs))  # bounded by language
     kind = dict(docs.dtypes)["doc_id"]
     held: dict[str, np.ndarray] = {}
 

@@ -615,6 +615,97 @@ def test_language_edges(spark, edge, empty):
     assert language.recognised(edge).columns == edge.columns
 
 
+def brute_languages(rows):
+    """(language, posterior) of every row (doc_id, text, lang) by the stated formulas, with plain dictionaries."""
+    import regex
+
+    def split(text):
+        return [w for w in regex.split(r"[^\p{L}]+", (text or "").lower()) if w]
+
+    def cut(word):
+        return [g for size in range(1, 6) for g in language.grams(word, size)]
+
+    learn = [(t, g) for i, t, g in rows if g is not None and zlib.crc32(str(i).encode()) % 4 != 2]
+    names = sorted({g for _, g in learn})
+    words = {g: Counter(w for t, h in learn if h == g for w in split(t)) for g in names}
+    pieces = {g: Counter() for g in names}
+    for g in names:
+        for w, n in words[g].items():
+            for piece in cut(w):
+                pieces[g][piece] += n
+    total = {g: sum(words[g].values()) for g in names}
+    m = language.PRIOR_COUNT
+
+    def logs(table, entry):
+        p = sum(table[g][entry] / total[g] for g in names) / len(names)
+        return [math.log((table[g][entry] + m * p) / (total[g] + m)) for g in names] if p else None
+
+    def word(w):
+        found = [logs(words, w)]
+        for size in range(5, 0, -1):
+            if any(found):
+                break
+            found = [logs(pieces, g) for g in language.grams(w, size)]
+        found = [f for f in found if f]
+        return [sum(x) / len(found) for x in zip(*found)] if found else [0.0] * len(names)
+
+    have = Counter(g for _, g in learn)
+    out = []
+    for _, text, _ in rows:
+        score = [math.log((have[g] + 1) / (len(learn) + len(names))) for g in names]
+        parts = split(text)
+        for w in parts:
+            score = [a + b for a, b in zip(score, word(w))]
+        best = max(range(len(names)), key=lambda j: score[j])
+        share = 1 / sum(math.exp(max(x - score[best], -700)) for x in score)
+        out.append((names[best], share) if parts else ("und", 0.0))
+    return out
+
+
+def test_language_scores_against_brute_force(spark, given):
+    rows = [(r["doc_id"], (r["text"] or "")[:300], r["lang"]) for r in given.orderBy("doc_id").limit(60).collect()]
+    rows += [(1_000 + i, w, None) for i, w in enumerate(["zzq", "unseenword", "12", "é", "the thes"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(docs).collect()}
+    for (i, _, _), (name, share) in zip(rows, brute_languages(rows)):
+        assert got[i][0] == name and got[i][1] == pytest.approx(share, abs=1e-6)
+
+
+def test_no_language_takes_room_from_another(spark, monkeypatch):
+    """250 languages, one of them with most rows and one with two rows, and room for few words of each."""
+    monkeypatch.setattr(language, "MODEL_WORDS", 30)
+    monkeypatch.setattr(language, "MODEL_GRAMS", 60)
+    rng = random.Random(6)
+
+    def words(seed, n):
+        own = random.Random(seed)
+        letters = own.sample("abcdefghijklmnopqrstuvwxyz", 9)
+        return ["".join(own.choices(letters, k=own.randint(3, 8))) for _ in range(n)]
+
+    rows, seed = [], 0
+    learned = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    held = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 4 == 2]
+    for code in range(250):
+        name = f"l{code:03d}"
+        own = words(code, 2_000 if code == 0 else 25)
+        for _ in range(1_500 if code == 0 else 2 if code == 1 else 5):
+            rows.append((learned.pop(), " ".join(rng.choices(own, k=40)), name))
+        for _ in range(3):
+            rows.append((held.pop(), " ".join(rng.choices(own, k=40)), name))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    out = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    judged = out[out["held_out"]]
+    assert len(judged) == 750 and judged["lang_pred"].nunique() == 250
+    assert (judged["lang"] == judged["lang_pred"]).mean() > 0.97
+    assert set(judged.loc[judged["lang"] == "l001", "lang_pred"]) == {"l001"}
+
+
+def test_language_of_labelled_rows_without_letters(spark):
+    rows = [(i, "12 34", "xx") for i in range(8)] + [(9, "some words", None)]
+    got = language.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert {r["lang_pred"] for r in got} == {"und", "xx"}
+
+
 # -- language model ----------------------------------------------------------
 
 
