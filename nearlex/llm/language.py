@@ -86,10 +86,12 @@ class Table:
     def rows(self, entries: list[int]) -> np.ndarray:
         if self.starts is None:
             return self.logs[entries]
+        entries = np.asarray(entries, np.int64)
         out = self.base[entries][:, None] + self.shift
-        for i, entry in enumerate(entries):
-            part = slice(self.starts[entry], self.starts[entry + 1])
-            out[i, self.columns[part]] = self.logs[part]
+        first, size = self.starts[entries], self.starts[entries + 1] - self.starts[entries]
+        row = np.repeat(np.arange(len(entries)), size)
+        at = np.arange(len(row)) + np.repeat(first - (np.cumsum(size) - size), size)
+        out[row, self.columns[at]] = self.logs[at]
         return out
 
 
@@ -100,16 +102,55 @@ class Model:
     grams: Table
     prior: np.ndarray
 
-    def word(self, word: str) -> np.ndarray:
-        """Log score of a word in each language."""
-        at = self.words.place.get(word)
-        if at is not None:
-            return self.words.rows([at])[0]
+    def pieces(self, word: str) -> list[int]:
+        """The longest n-grams of a word that training has seen."""
         for size in range(LONGEST, 0, -1):
             found = [g for g in map(self.grams.place.get, grams(word, size)) if g is not None]
             if found:
-                return self.grams.rows(found).mean(axis=0)
-        return np.zeros(len(self.languages))
+                return found
+        return []
+
+    def word(self, word: str) -> np.ndarray:
+        """Log score of a word in each language."""
+        return self.score([word], {})[0]
+
+    def score(self, words: list[str], held: dict[str, np.ndarray]) -> np.ndarray:
+        """Log scores of words in each language, a row a word; ``held`` remembers unseen words."""
+        out = np.zeros((len(words), len(self.languages)))
+        place = [self.words.place.get(w, -1) for w in words]
+        known = [i for i, p in enumerate(place) if p >= 0]
+        out[known] = self.words.rows([place[i] for i in known])
+        new: list[tuple[int, list[int]]] = []
+        waiting = 0
+
+        def settle() -> None:
+            nonlocal waiting
+            if new:
+                sizes = np.array([len(found) for _, found in new])
+                values = self.grams.rows([g for _, found in new for g in found])
+                means = np.add.reduceat(values, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
+                for (i, _), mean in zip(new, means):
+                    out[i] = mean
+                    if len(held) * out.shape[1] < HELD_VALUES and len(words[i]) < 40:
+                        held[words[i]] = mean.copy()
+            new.clear()
+            waiting = 0
+
+        for i, p in enumerate(place):
+            if p >= 0:
+                continue
+            row = held.get(words[i])
+            if row is not None:
+                out[i] = row
+                continue
+            found = self.pieces(words[i])
+            if found:
+                new.append((i, found))
+                waiting += len(found)
+            if waiting > WORDS_AT_ONCE:
+                settle()
+        settle()
+        return out
 
     def predict(self, column: pa.Array, held: dict[str, np.ndarray]) -> tuple[list[str], np.ndarray]:
         """Language and posterior of every text; ``held`` remembers unseen words."""
@@ -124,14 +165,7 @@ class Model:
         total = np.tile(self.prior, (n, 1))
         for first in range(0, len(distinct), WORDS_AT_ONCE):
             some = distinct[first : first + WORDS_AT_ONCE]
-            table = np.empty((len(some), k))
-            for i, word in enumerate(some):
-                row = held.get(word)
-                if row is None:
-                    row = self.word(word)
-                    if len(held) * k < HELD_VALUES and len(word) < 40:
-                        held[word] = row
-                table[i] = row
+            table = self.score(some, held)
             part = slice(*np.searchsorted(codes, [first, first + len(some)]))
             for j in range(k):
                 total[:, j] += np.bincount(rows_of[part], table[codes[part] - first, j], minlength=n)
