@@ -9,7 +9,7 @@ from catalog.count_queries import r6
 from catalog.registry import query
 from nearlex.functions import expressions as ex
 from nearlex.operators import (
-    feedback, lsi, neighbours as nb, selection, splits, vectors as vx,
+    feedback, lsi, neighbours as nb, selection, splits, threshold, vectors as vx,
 )
 from nearlex.plans import presets as ps
 from nearlex.plans.classify import NeighbourClassifier
@@ -91,7 +91,8 @@ def x6_explained_variance(spark, sf):
        + "SELECT query_id, train_id, round(dot, 6) AS sim FROM s WHERE round(dot, 6) >= 0.1")
 def k1_sparse_cosine(spark, sf):
     fitted = data.word_features(spark, sf)
-    pairs = nb.dot_products(fitted.queries, fitted.train.drop("label"))
+    # Half a digit below, for similarities that round up to the threshold.
+    pairs = threshold.similar(fitted.queries, fitted.train, 0.1 - 5.1e-7)
     return pairs.select("query_id", "train_id", r6("sim", F.col("dot"))).filter("sim >= 0.1")
 
 
