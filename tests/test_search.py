@@ -301,3 +301,32 @@ def test_tokenising_a_wide_input_does_not_shuffle(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize("metric, value", [("cosine", "sim"), ("euclidean", "dist2")])
+@pytest.mark.parametrize("k", [5, 500])
+def test_scan_equals_brute_force(spark, metric, value, k, monkeypatch):
+    """Many parts a task, groups told apart, documents left where they are."""
+    monkeypatch.setattr(nb, "SCAN_ROWS", 9)
+    t, train = random_table(spark, 160, 30, 1)
+    q, queries = random_table(spark, 23, 30, 2, label=False, first_id=1000, hot=False)
+    want = brute(q, t, k, metric)
+    found = nb.nearest(queries, train, k, metric=metric)
+    assert "FlatMapCoGroups" not in found._jdf.queryExecution().executedPlan().toString()
+    assert collected(found, value, 1000) == want
+    two = [d.withColumn("rep", F.explode(F.array(F.lit("a"), F.lit("b")))) for d in (queries, train)]
+    both = nb.nearest(*two, k, metric=metric, by=["rep"])
+    for rep in ("a", "b"):
+        assert collected(both.filter(F.col("rep") == rep), value, 1000) == want
+
+
+def test_scan_is_for_few_queries(spark, monkeypatch):
+    _, train = random_table(spark, 80, 30, 1)
+    _, queries = random_table(spark, 23, 30, 2, label=False, first_id=1000)
+    want = collected(nb.nearest(queries, train, 5, plan="scan", fill=False), "sim", 1000)
+    for name in ("SCAN_QUERIES", "SCAN_BYTES", "SCAN_FOUND"):
+        with monkeypatch.context() as m:
+            m.setattr(nb, name, 10)
+            assert collected(nb.nearest(queries, train, 5, fill=False), "sim", 1000) == want
+            with pytest.raises(ValueError):
+                nb.nearest(queries, train, 5, plan="scan")
