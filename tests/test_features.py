@@ -285,3 +285,25 @@ def test_first_rows_without_sorting_them(spark):
     assert head(frame, 9, "doc_id").count() == 4 and head(frame, 0, "doc_id").count() == 0
     marked = frame.withColumn("first", before_rank(frame, [F.col("doc_id")], 2))
     assert "Exchange" not in marked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_tables_are_asked_once_a_block(spark, micro, odd_bag, monkeypatch):
+    """Blocks of few elements give the rows of a lookup inside the row; each asks for a key once."""
+    from nearlex.operators import rowjoin
+
+    monkeypatch.setattr(rowjoin, "BLOCK_ELEMENTS", 5)
+    monkeypatch.setattr(rowjoin, "PIECE_ELEMENTS", 2)
+    asked = []
+    staged = rowjoin.stage
+    monkeypatch.setattr(rowjoin, "stage", lambda df, name: asked.append(out := staged(df, name)) or out)
+    _, bag = odd_bag
+    weight = vx.bm25_weight(2.8)
+    inside, joined = (vx.weigh(bag, micro.vocab, weight, limit=limit) for limit in (1 << 20, 0))
+    assert _rows(inside) == _rows(joined)
+    named = [vx.named_entries(inside, micro.vocab, limit=limit) for limit in (1 << 20, 0)]
+    assert _rows(named[0]) == _rows(named[1]) and named[0].count() > 0
+    keys = asked[0].filter("key is not null")
+    assert asked[0].select("part").distinct().count() > 1
+    assert keys.count() == keys.select("part", "key").distinct().count()
+    assert vx.weigh(bag.limit(0), micro.vocab, weight, limit=0).count() == 0
+    assert _rows(vx.weigh(bag, micro.vocab.limit(0), weight, limit=0)) == _rows(vx.weigh(bag, micro.vocab.limit(0), weight))
