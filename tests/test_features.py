@@ -307,3 +307,16 @@ def test_large_tables_are_asked_once_a_block(spark, micro, odd_bag, monkeypatch)
     assert keys.count() == keys.select("part", "key").distinct().count()
     assert vx.weigh(bag.limit(0), micro.vocab, weight, limit=0).count() == 0
     assert _rows(vx.weigh(bag, micro.vocab.limit(0), weight, limit=0)) == _rows(vx.weigh(bag, micro.vocab.limit(0), weight))
+
+
+def test_formulas_in_the_row_equal_columns(spark, micro):
+    """Vectors leave the Arrow step weighed: no higher-order function runs row by row after it."""
+    known = micro.vocab.select("term", "term_id", "idf").toArrow()
+    for weight in (vx.bm25_weight(2.8, 0.9, 0.3), vx.sublinear_weight(), vx.tfidf_weight(), vx.tfidf_weight(True)):
+        found = vx.looked_up(micro.bag, known, ["doc_id", "label"])
+        want = found.select("doc_id", "label", vx._weighed_in_row(found, ["doc_id"], weight))
+        got = vx.looked_up(micro.bag, known, ["doc_id", "label"], [weight])
+        assert "transform(" not in got._jdf.queryExecution().executedPlan().toString()
+        assert _rows(got.withColumnRenamed("vec0", "vec")) == _rows(want)
+    kept = selection._kept_in_row(micro.train, micro.vocab.limit(3).select("term_id").toArrow(), ["doc_id", "label"])
+    assert "transform(" not in kept._jdf.queryExecution().executedPlan().toString()
