@@ -124,6 +124,21 @@ def test_svd_against_numpy(spark, monkeypatch):
     assert unit == [0.0] * 4
 
 
+def test_few_large_blocks_of_rows_move_the_basis(spark, monkeypatch):
+    """A basis row travels once for each block of a task's size, not of 500,000 entries; slices of columns give the same components."""
+    rng = np.random.default_rng(3)
+    rows, terms = 3_000, 900
+    data = [(i, [(int(j), float(rng.random())) for j in np.unique(rng.integers(0, terms, 260))]) for i in range(rows)]
+    vectors = spark.createDataFrame(data, "doc_id bigint, vec array<struct<term_id:int,w:double>>").repartition(4).localCheckpoint()
+    packed = lsi.pack(vectors, [], 16)
+    assert packed.select("part").distinct().count() == 1
+    asked = lsi._asked_rows(packed, lsi._random(packed, 6, 16, 1), 6, 3)
+    assert asked.agg(F.sum(F.octet_length("q"))).first()[0] == terms * 6 * 8
+    whole = lsi.fit_components(vectors, 4, n_iter=2)
+    monkeypatch.setattr(lsi, "parallelism", lambda session: 1)
+    assert np.allclose(_matrix(whole, terms), _matrix(lsi.fit_components(vectors, 4, n_iter=2), terms), atol=1e-9)
+
+
 def test_no_block_of_the_basis_reaches_the_driver(spark, monkeypatch):
     """Only columns-by-columns sums and one sign a component are collected, whatever the vocabulary."""
     rng = np.random.default_rng(9)
