@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nearlex.operators import bags as bg, lsi, selection, vectors as vx
+from nearlex.operators import bags as bg, lsi, selection, vectors as vx, vocabulary
 from nearlex.operators.ranking import head, ranked
 from nearlex.operators.vocabulary import fit_vocabulary
 
@@ -41,6 +41,24 @@ def test_min_df_max_df_and_caps(micro):
         fit_vocabulary(micro.bag, 5, idf="other")
 
 
+@pytest.mark.parametrize("cap_by", ["df", "total"])
+def test_capped_vocabulary_does_not_shuffle_rare_terms(spark, monkeypatch, cap_by):
+    """Same vocabulary, ties included, as counting every term; few buckets, most of them shared, as well as many."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join([f"w{int(j)}" for j in rng.zipf(1.3, 60) % 5000] + [f"once{i}x{j}" for j in range(20)])) for i in range(400)]
+    bag = bg.bags(bg.tokenised(spark.createDataFrame(rows, "doc_id bigint, text string"), bg.rich_analyzer(1, normaliser=None)))
+    fitted = lambda cap: [tuple(r) for r in fit_vocabulary(bag, 400, max_df=0.9, max_terms=cap, cap_by=cap_by).orderBy("term_id").collect()]
+    plain = {cap: fitted(cap) for cap in (25, 150, 4_000)}
+    monkeypatch.setattr(vocabulary, "BUCKETED_ENTRIES", 0)
+    monkeypatch.setattr(vocabulary, "CHUNK", 64)
+    shuffled, counts_in = [], vocabulary._counts_in
+    monkeypatch.setattr(vocabulary, "_counts_in", lambda *args: shuffled.append((got := counts_in(*args)).count()) or got)
+    for buckets in (1 << 8, 1 << 14):
+        monkeypatch.setattr(vocabulary, "BUCKETS", buckets)
+        assert {cap: fitted(cap) for cap in plain} == plain
+    assert bg.document_frequencies(bag).count() > 8_000 and 0 < min(shuffled) < 200
+
+
 def test_chi2_scores_and_selection(micro):
     scores = selection.chi2_scores(micro.train).join(micro.vocab, "term_id")
     got = {r["term"]: round(r["chi2"], 6) for r in scores.collect()}
