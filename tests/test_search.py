@@ -330,3 +330,22 @@ def test_scan_is_for_few_queries(spark, monkeypatch):
             assert collected(nb.nearest(queries, train, 5, fill=False), "sim", 1000) == want
             with pytest.raises(ValueError):
                 nb.nearest(queries, train, 5, plan="scan")
+
+
+def test_blocks_are_counted_within_a_representation(spark, monkeypatch):
+    """Representations do not meet, so their number does not multiply the copies of a row; tiles give the same rows."""
+    rng = np.random.default_rng(8)
+    rows = [
+        (rep, i, i % 3, [(int(t), float(rng.random()) + 0.1) for t in np.unique(rng.integers(0, 40, 6))])
+        for rep in ("a", "b", "c") for i in range(120)
+    ]
+    both = spark.createDataFrame(rows, "rep string, doc_id bigint, label int, vec array<struct<term_id:int,w:double>>")
+    asked, docs = both.filter("doc_id < 40").drop("label"), both
+    want = sorted(map(tuple, nb.nearest(asked, docs, 3, fill=False, by=["rep"], plan="join").select("rep", "query_id", "train_id", "sim", "rank").collect()))
+    monkeypatch.setattr(nb, "QUERY_BLOCK_ROWS", 20)
+    monkeypatch.setattr(nb, "TRAIN_BLOCK_ROWS", 60)
+    monkeypatch.setattr(nb, "TILE_ROWS", 7)
+    monkeypatch.setattr(nb, "parallelism", lambda session: 1)
+    assert nb._block_counts(asked, docs, ["rep"])[:4] == (120, 360, 2, 2)
+    got = nb.nearest(asked, docs, 3, fill=False, by=["rep"], plan="blocks").select("rep", "query_id", "train_id", "sim", "rank")
+    assert sorted(map(tuple, got.collect())) == want
