@@ -62,3 +62,22 @@ def test_grid_winner_goes_into_the_bm25_members(spark):
     assert (got["m1"].k1, got["m1"].b) == (1.5, 1.0) and got["m2"] == ps.MODELS["m2"]
     with pytest.raises(ValueError):
         chain.members(None, None, {}, {"m10": ps.LsiSpec("m1")})
+
+
+def test_feedback_does_not_search_what_its_base_has_found(spark, tuned, monkeypatch):
+    from nearlex.operators import feedback
+
+    built, found = tuned
+    turns, asked = built.train["m1"], built.queries["m1"]
+    want = {r["doc_id"]: r["vec"] for r in feedback.expand_weighted(asked, turns).collect()}
+    calls = []
+    monkeypatch.setattr(feedback, "nearest", lambda *args, **kw: calls.append(args))
+    seen = {}
+    real = chain.expand_weighted
+    monkeypatch.setattr(chain, "expand_weighted", lambda *args, **kw: seen.setdefault("vec", real(*args, **kw)))
+    chain._searched(built.queries, built.train, {"m11": 3, "m1": 12}, chain.FEEDBACK, fill=True)
+    got = {r["doc_id"]: r["vec"] for r in seen["vec"].collect()}
+    assert not calls and got.keys() == want.keys()
+    for i, vec in want.items():
+        kept = {e["term_id"]: e["w"] for e in vec if e["w"]}
+        assert {e["term_id"]: e["w"] for e in got[i] if e["w"]} == pytest.approx(kept)

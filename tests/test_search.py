@@ -349,3 +349,25 @@ def test_blocks_are_counted_within_a_representation(spark, monkeypatch):
     assert nb._block_counts(asked, docs, ["rep"])[:4] == (120, 360, 2, 2)
     got = nb.nearest(asked, docs, 3, fill=False, by=["rep"], plan="blocks").select("rep", "query_id", "train_id", "sim", "rank")
     assert sorted(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+@pytest.mark.parametrize("share", [0.0, 0.05, 2.0])
+def test_tiles_give_the_best_of_the_block_once(spark, monkeypatch, metric, share):
+    """Whether terms are multiplied as a matrix or pair by pair, k rows a query leave a block of many tiles."""
+    from nearlex.operators import kernels as kn
+
+    monkeypatch.setattr(kn, "_DENSE_SHARE", share)
+    monkeypatch.setattr(kn, "_FORMED_PAIRS", 50)
+    monkeypatch.setattr(kn, "_DENSE_CELLS", 400)
+    q = random_table(spark, 30, 12, 5, label=False)[1].withColumnRenamed("doc_id", "query_id").toArrow()
+    t = random_table(spark, 90, 12, 6, first_id=1000)[1].withColumnRenamed("doc_id", "train_id").toArrow().sort_by("train_id")
+    whole = kn.best_in_block(q, t, 7, metric, False, 6)
+    rows, cols, values = kn.best_in_tiles(q, t, 7, metric, False, 6, 16)
+    assert len(rows) == 30 * 7 and np.array_equal(rows, whole[0]) and np.array_equal(cols, whole[1])
+    assert np.allclose(values, whole[2], atol=1e-12)
+    terms = lambda table: [{e["term_id"]: e["w"] for e in v} for v in table.column("vec").to_pylist()]
+    left, right = terms(q)[rows[0]], terms(t)[cols[0]]
+    dot = sum(w * right.get(i, 0.0) for i, w in left.items())
+    square = lambda v: sum(w * w for w in v.values())
+    assert values[0] == pytest.approx(dot if metric == "cosine" else square(left) + square(right) - 2 * dot, abs=1e-9)
