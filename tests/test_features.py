@@ -353,3 +353,22 @@ def test_formulas_in_the_row_equal_columns(spark, micro):
         assert _rows(got.withColumnRenamed("vec0", "vec")) == _rows(want)
     kept = selection._kept_in_row(micro.train, micro.vocab.limit(3).select("term_id").toArrow(), ["doc_id", "label"])
     assert "transform(" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_block_of_sorted_terms_is_small():
+    """Codes of sorted terms ascend, so a packed block holds about two bytes an entry."""
+    import numpy as np
+    import pyarrow as pa
+
+    from nearlex.operators import rowjoin
+
+    rng = np.random.default_rng(3)
+    codes = np.concatenate([np.sort(rng.choice(100_000, 250, replace=False)) for _ in range(80)]).astype(np.int32)
+    entries = pa.StructArray.from_arrays([pa.array([f"t{c:06d}" for c in codes]), pa.array(np.ones(len(codes), np.int64))], names=["term", "tf"])
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(80)), pa.ListArray.from_arrays(pa.array(np.arange(0, 80 * 250 + 1, 250), pa.int32()), entries)], names=["doc_id", "terms"]
+    )
+    data = rowjoin._coded(rows, ["doc_id"], "terms", "term", pa.array(codes))
+    assert len(data) < 4 * len(codes)
+    held = pa.ipc.open_stream(data).read_all().column("_items").combine_chunks().flatten()
+    assert np.array_equal(np.cumsum(held.field("_step")), codes)
