@@ -46,9 +46,13 @@ TILE = 1024
 DENSE_SHARE = 1 / 16
 #: Phrases of a level whose ids are sent to the tasks.
 TABLE_ENTRIES = 1 << 20
-#: Words or pairs a task holds before it emits their counts.
-HELD_WORDS = 150_000
-HELD_PAIRS = 1_000_000
+#: Words, of all languages together, or pairs a task holds before it emits their counts.
+HELD_WORDS = 300_000
+HELD_PAIRS = 400_000
+#: Rows of a batch of counts.
+COUNT_ROWS = 1 << 16
+#: Word ids of a written row; it ends at the next break.  Readers and writers hold thousands of rows at a time.
+ROW_IDS = 1_024
 #: Bytes of text whose words are looked up together.
 ABREAST_BYTES = 1024 * 1024
 #: Decimals that hold every product.
@@ -73,9 +77,11 @@ def _language(docs: DataFrame) -> Column:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n, hash) of all words; the row with a null word counts all words of the language."""
+    most = HELD_WORDS
 
     def count(batches):
         held: dict[str, dict[bytes | None, int]] = {}
+        size = 0
 
         def emitted(lang: str) -> pa.RecordBatch:
             words = held.pop(lang)
@@ -92,14 +98,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, words in _by_language(batch):
                 own = held.setdefault(lang, {None: 0})
+                size -= len(own)
                 coded = pa.array(words, pa.binary()).dictionary_encode()
                 n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
                 for word, times in zip(coded.dictionary.to_pylist(), n.tolist()):
                     if word != b".":
                         own[word] = own.get(word, 0) + times
                         own[None] += times
-                if len(own) > HELD_WORDS:
-                    yield emitted(lang)
+                size += len(own)
+                if size > most:
+                    largest = max(held, key=lambda name: len(held[name]))
+                    size -= len(held[largest])
+                    yield emitted(largest)
         for lang in list(held):
             yield emitted(lang)
 
@@ -221,9 +231,15 @@ def _coordinates(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nd
     return left[first], right[first], np.diff(np.append(first, len(left)))
 
 
+def cut_at_breaks(ids: np.ndarray, size: int) -> np.ndarray:
+    """Ends of rows of about ``size`` ids: each is behind a break, so no pair is in two rows; ``ids`` end with one."""
+    ends = np.flatnonzero(ids == BREAK) + 1
+    return ends[np.diff(ends // size, append=-1) != 0]
+
+
 def sequences(docs: DataFrame, lookup: Lookup) -> DataFrame:
-    """Word ids of the documents, one row a portion of a batch; a break stands between pieces."""
-    sent = docs.sparkSession.sparkContext.broadcast(lookup)
+    """Word ids of the documents in short rows; a break stands between pieces and at the end of a row."""
+    sent, size = docs.sparkSession.sparkContext.broadcast(lookup), ROW_IDS
 
     def run(batches):
         for batch in batches:
@@ -237,8 +253,8 @@ def sequences(docs: DataFrame, lookup: Lookup) -> DataFrame:
                 ids = ids[coded.indices.to_numpy()]
                 # Runs of breaks are one.
                 made.append(ids[(ids != BREAK) | (np.concatenate([[0], ids[:-1]]) != BREAK)])
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in made], dtype=np.int64)])
-            flat = pa.array(np.concatenate([np.zeros(0, np.int64), *made]), pa.int64())
+            flat = np.concatenate([np.zeros(0, np.int64), *made])
+            offsets, flat = np.concatenate([[0], cut_at_breaks(flat, size)]), pa.array(flat, pa.int64())
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)], names=["ids"])
 
     return docs.select(_language(docs), "text").mapInArrow(run, "ids array<bigint>")
@@ -246,29 +262,31 @@ def sequences(docs: DataFrame, lookup: Lookup) -> DataFrame:
 
 def pair_counts(words: DataFrame, lookups: list[Lookup]) -> DataFrame:
     """(left, right, a) of adjacent phrases, where ``lookups`` lead from words to the phrases of this level."""
-    sent = words.sparkSession.sparkContext.broadcast(lookups)
+    sent, most, step = words.sparkSession.sparkContext.broadcast(lookups), HELD_PAIRS, COUNT_ROWS
 
     def count(batches):
         held, size = [], 0
 
-        def emitted() -> pa.RecordBatch:
+        def emitted():
             none = np.zeros(0, np.int64)
             sides = [np.concatenate([none, *[h[k] for h in held]]) for k in range(2)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in tile_counts(*sides)], names=["left", "right", "a"]
-            )
+            counts = tile_counts(*sides)
+            for start in range(0, len(counts[0]), step):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[start : start + step], pa.int64()) for x in counts], names=["left", "right", "a"]
+                )
 
         for batch in batches:
-            for row in batch.column("ids"):
-                ids = row.values.to_numpy()
-                for lookup in sent.value:
-                    ids = next_level(ids, lookup)[0]
-                held.append(next_level(ids, None))
-                size += len(held[-1][0])
-                if size > HELD_PAIRS:
-                    yield emitted()
-                    held, size = [], 0
-        yield emitted()
+            # Rows end with a break, so no pair reaches into the next.
+            ids = batch.column("ids").flatten().to_numpy()
+            for lookup in sent.value:
+                ids = next_level(ids, lookup)[0]
+            held.append(next_level(ids, None))
+            size += len(held[-1][0])
+            if size > most:
+                yield from emitted()
+                held, size = [], 0
+        yield from emitted()
 
     made = words.mapInArrow(count, "left bigint, right bigint, a bigint")
     return made.groupBy("left", "right").agg(F.sum("a").alias("a"))

@@ -249,6 +249,30 @@ def test_tiles_count_like_coordinates(monkeypatch):
         assert Counter(dict(zip(zip(a.tolist(), b.tolist()), n.tolist()))) == want and len(a) == len(want)
 
 
+def test_rows_of_word_ids_are_short_and_end_with_a_break(spark):
+    # One split of many texts: a row once held all of a batch, megabytes that readers and writers hold by the hundred.
+    rows = [(i, "one two three. " * 40 + "four, five " * 10, "en") for i in range(400)]
+    keys = np.array([collocations.word_key("en", w) for w in (b"one", b"two", b"three", b"four", b"five")])
+    lookup = collocations.Lookup(keys, np.arange(5), True)
+    made = [r["ids"] for r in collocations.sequences(corpus(spark, rows).coalesce(1), lookup).collect()]
+    assert max(map(len, made)) <= 2 * collocations.ROW_IDS
+    assert all(ids[-1] == collocations.BREAK for ids in made)
+    assert sum(i != collocations.BREAK for ids in made for i in ids) == 400 * 140
+
+
+def test_rows_are_cut_at_breaks_only():
+    ids = np.array([1, -1, 2, 3, 4, 5, 6, 7, -1, 8, -1, 9, 9, -1])
+    assert collocations.cut_at_breaks(ids, 4).tolist() == [2, 11, 14]
+    assert collocations.cut_at_breaks(ids[:0], 4).tolist() == []
+
+
+def test_few_held_words_count_the_same(spark, phrases, monkeypatch):
+    want = sorted(map(tuple, collocations.word_counts(corpus(spark, phrases)).collect()), key=repr)
+    monkeypatch.setattr(collocations, "HELD_WORDS", 5)
+    monkeypatch.setattr(collocations, "ABREAST_BYTES", 50)
+    assert sorted(map(tuple, collocations.word_counts(corpus(spark, phrases)).collect()), key=repr) == want
+
+
 def test_no_documents_no_phrases(spark):
     assert collocations.mine(corpus(spark, [])).count() == 0
     assert collocations.mine(corpus(spark, [(1, None), (2, "")])).count() == 0
