@@ -372,3 +372,25 @@ def test_a_block_of_sorted_terms_is_small():
     assert len(data) < 4 * len(codes)
     held = pa.ipc.open_stream(data).read_all().column("_items").combine_chunks().flatten()
     assert np.array_equal(np.cumsum(held.field("_step")), codes)
+
+
+def test_formulas_on_the_same_counts_count_terms_once(spark, monkeypatch):
+    from dataclasses import replace
+
+    from nearlex.plans import presets as ps
+
+    docs = spark.createDataFrame([(i, i % 3, f"oil price {i % 5} rises game{i % 4}") for i in range(40)], "doc_id bigint, label int, text string")
+    plain = {n: ps.build(s, docs).vocab for n, s in ps.ENSEMBLE.items() if n != "char"}
+    calls, counted = [], vocabulary.most_counted
+    monkeypatch.setattr(vocabulary, "most_counted", lambda *a: calls.append(1) or counted(*a))
+    held: dict = {}
+    shared = {n: ps.build(ps.ENSEMBLE[n], docs, held=held).vocab for n in plain}
+    assert len(calls) == 1
+    assert all(sorted(shared[n].collect()) == sorted(plain[n].collect()) for n in plain)
+    # Other bounds are counted for themselves.
+    ps.build(replace(ps.ENSEMBLE["bm25"], max_terms=3), docs, held=held)
+    assert len(calls) == 2
+
+
+def test_readers_hold_few_rows_of_long_arrays(spark, micro):
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512

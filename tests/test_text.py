@@ -102,3 +102,39 @@ def test_table_normaliser_with_and_without_broadcast(spark, limit):
     assert {r["doc_id"]: (r["label"], r["tokens"]) for r in got} == {
         1: (5, ["goose", "fly", "goose"]), 2: (6, []),
     }
+
+
+def test_ngrams_and_counts_are_one_pass(spark):
+    """N-grams are made, and counted, where the stems are; they are not sent back in between."""
+    docs = spark.createDataFrame([(1, "The oils rising, rising oils!"), (2, ""), (3, None)], "doc_id bigint, text string")
+    for analyzer in (bg.rich_analyzer(3), lambda text: tx.char_grams_in_word(text)):
+        tokens = docs.select("doc_id", analyzer(F.col("text")).alias("tokens"))
+        counts = tokens.select("doc_id", tx.counted_with_length(F.col("tokens")).alias("c")).select("doc_id", "c.dl", "c.terms")
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+        want = tokens.select("doc_id", F.size("tokens").alias("dl"), tx.counted(F.col("tokens")).alias("terms"))
+        assert sorted(counts.collect()) == sorted(want.collect())
+
+
+def test_batches_equal_plain_loops():
+    import random
+
+    import pyarrow as pa
+
+    from nearlex.functions.batches import bag_batch, count_batch, gram_batch, grams_of, ngram_batch
+
+    rng = random.Random(3)
+    words = ["a", "bé", "日本語", "x_y", "_", "𝒳z", "word", "a_b", "b"]
+    lists = [None, [], ["x"], *[rng.choices(words, k=rng.randint(0, 9)) for _ in range(60)]]
+    given, kind = pa.array(lists, pa.list_(pa.string())), pa.list_(pa.string())
+    joined = lambda ws, n: ["_".join(ws[i : i + n]) for i in range(len(ws) - n + 1)]
+    for order in (2, 3):
+        want = [None if ws is None else ws + sum((joined(ws, n) for n in range(2, order + 1)), []) for ws in lists]
+        made = ngram_batch(given, order)
+        assert made.cast(kind).to_pylist() == want
+        counts = [[{"term": t, "tf": ws.count(t)} for t in sorted(set(ws), key=str.encode)] for ws in ([] if w is None else w for w in want)]
+        assert count_batch(made).to_pylist() == counts
+        assert bag_batch(made).field("dl").to_pylist() == [None if w is None else len(w) for w in want]
+    for cut in ((3, 5, "_", False), (3, 5, " ", True), (1, 2, "_", True)):
+        want = [sum((grams_of(w, *cut) for w in ws or []), []) for ws in lists]
+        assert gram_batch(given, *cut).cast(kind).to_pylist() == want
