@@ -394,3 +394,29 @@ def test_formulas_on_the_same_counts_count_terms_once(spark, monkeypatch):
 
 def test_readers_hold_few_rows_of_long_arrays(spark, micro):
     assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    import time
+
+    from nearlex.session import remove_stage, ship_package, stage
+
+    ship_package(spark)
+    rows = spark.range(50_000).groupBy((F.col("id") % 1_000).alias("k")).count()
+    before = _shuffle_files(spark)
+    staged = stage(rows, "counted")
+    for _ in range(50):
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    # Run again it is computed again.
+    assert sorted(rows.collect()) == sorted(rows.collect()) == sorted(staged.collect())
+    remove_stage(staged)
+    with pytest.raises(Exception):
+        staged.collect()
