@@ -371,3 +371,29 @@ def test_tiles_give_the_best_of_the_block_once(spark, monkeypatch, metric, share
     dot = sum(w * right.get(i, 0.0) for i, w in left.items())
     square = lambda v: sum(w * w for w in v.values())
     assert values[0] == pytest.approx(dot if metric == "cosine" else square(left) + square(right) - 2 * dot, abs=1e-9)
+
+
+def test_blocks_are_as_large_as_a_task_holds(spark, monkeypatch):
+    """A document is copied once for each block of queries: many queries of few entries are one block, those of many are not."""
+    monkeypatch.setattr(nb, "parallelism", lambda session: 1)
+    rows = spark.range(40_000).select(F.col("id").alias("doc_id"), F.expr("array(named_struct('term_id', cast(id % 50 as int), 'w', 1.0D))").alias("vec"))
+    n_q, n_t, q_blocks, t_blocks, _ = nb._block_counts(rows.filter("doc_id < 20000"), rows, k=11)
+    assert n_q * t_blocks + n_t * q_blocks <= 4 * (n_q + n_t)
+    assert nb._block_counts(rows, rows, k=100)[2] == 4
+    monkeypatch.setattr(nb, "QUERY_BLOCK_ENTRIES", 5_000)
+    assert nb._block_counts(rows, rows)[2] == 8
+    # Small tables are cut until all slots have work.
+    monkeypatch.setattr(nb, "parallelism", lambda session: 50)
+    few = rows.filter("doc_id < 4000")
+    _, _, q_blocks, t_blocks, _ = nb._block_counts(few, few)
+    assert q_blocks * t_blocks >= 4 * 50
+
+
+def test_large_blocks_give_the_rows_of_small_ones(spark, monkeypatch):
+    t, train = random_table(spark, 400, 30, 3)
+    q, queries = random_table(spark, 300, 30, 4, label=False, first_id=1000)
+    for k in (7, 60):
+        want = brute(q, t, k, "cosine")
+        assert collected(nb.blocked(queries, train, k), "sim", 1000) == want
+        monkeypatch.setattr(nb, "QUERY_BLOCK_FOUND", 900)
+        assert collected(nb.blocked(queries, train, k), "sim", 1000) == want
